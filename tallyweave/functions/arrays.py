@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once.
+
+    Inside a lambda an outer expression runs again for every element; bound
+    like this it runs once per row however often the body mentions it.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def json_array(text: Column | str, element: str) -> Column:
     """Parse JSON array text; malformed text gives NULL."""
     return F.from_json(text, f"array<{element}>")
@@ -13,11 +24,13 @@ def json_array(text: Column | str, element: str) -> Column:
 
 def zip_shortest(**arrays: Column) -> Column:
     """Zip arrays by position and cut to the shortest; NULL if any is NULL."""
-    named = [array.alias(name) for name, array in arrays.items()]
-    shortest = F.least(*[F.size(array) for array in arrays.values()])
-    whole = F.arrays_zip(*named)
-    absent = F.lit(False)
-    for array in arrays.values():
-        absent = absent | array.isNull()
-    # least() skips NULL sizes, so missing arrays are tested on their own.
-    return F.when(~absent, F.slice(whole, F.lit(1), shortest))
+    def zipped(parsed: Column) -> Column:
+        sizes = [F.size(parsed[name]) for name in arrays]
+        present = parsed[next(iter(arrays))].isNotNull()
+        for name in arrays:
+            present = present & parsed[name].isNotNull()
+        whole = F.arrays_zip(*[parsed[name].alias(name) for name in arrays])
+        # least() skips NULL sizes, so missing arrays are tested on their own.
+        return F.when(present, F.slice(whole, F.lit(1), F.least(*sizes)))
+
+    return let(F.struct(*[array.alias(name) for name, array in arrays.items()]), zipped)

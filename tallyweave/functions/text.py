@@ -7,6 +7,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 # Patterns and sizes the results depend on.
 YEAR_PATTERN = "[2][0-9][0-9][0-4]"
 BYTE_RESIDUE = "xc[^\n]{8}|xe[^\n]{7}"
@@ -61,29 +63,32 @@ def table_title(html: Column | str) -> Column:
 
 def decode_entities(text: Column | str) -> Column:
     """Named and numeric character references to characters, in one pass."""
-    text = _col(text)
     known = [F.lit(part) for name, code in name2codepoint.items() for part in (name, chr(code))]
     table = F.create_map(*known)
-    parts = F.split(text, "&")
 
-    def decoded(part: Column) -> Column:
-        name = F.substring_index(part, ";", 1)
-        rest = F.substr(part, F.length(name) + 2)
+    def by_number(name: Column) -> Column:
         decimal = F.regexp_extract(name, "^#([0-9]{1,7})$", 1)
         hexadecimal = F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,6})$", 1)
-        code = F.when(decimal != "", decimal.try_cast("int")).when(
-            hexadecimal != "", F.conv(hexadecimal, 16, 10).try_cast("int")
+        code = F.coalesce(
+            decimal.try_cast("int"), F.conv(F.nullif(hexadecimal, F.lit("")), 16, 10).try_cast("int")
         )
-        in_range = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
-        letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        meant = F.coalesce(F.try_element_at(table, name), F.when(in_range, letter))
-        return F.when(
-            part.contains(";") & meant.isNotNull(), F.concat(meant, rest)
-        ).otherwise(F.concat(F.lit("&"), part))
+        in_range = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(in_range, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
 
-    tail = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
-    whole = F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
-    return F.when(text.contains("&"), whole).otherwise(text)
+    def decoded(part: Column) -> Column:
+        name = F.substring_index(part, ";", 1)
+        meant = F.coalesce(
+            F.try_element_at(table, name), F.when(name.startswith("#"), by_number(name))
+        )
+        rest = F.substr(part, F.length(name) + 2)
+        whole = F.when(part.contains(";"), F.concat(meant, rest))
+        return F.coalesce(whole, F.concat(F.lit("&"), part))
+
+    def joined(parts: Column) -> Column:
+        tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded)
+        return F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
+
+    return let(F.split(_col(text), "&"), joined)
 
 
 # Scripts, styles, comments and declarations are not text.
@@ -186,18 +191,25 @@ def table_texts(elements: Column | str) -> Column:
     placed = F.transform(_col(elements), lambda e, i: F.struct(
         i.alias("i"), e["category"].alias("category"),
         e["text"].alias("text"), e["text_as_html"].alias("html")))
-    titles = F.filter(placed, lambda e: e["category"] == "Title")
-    tables = F.filter(placed, lambda e: (e["category"] == "Table") & e["html"].isNotNull())
-
-    def with_titles(t: Column) -> Column:
-        before = F.transform(F.filter(titles, lambda h: h["i"] < t["i"]), lambda h: h["text"])
-        latest = F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit(""))
-        return F.concat(
-            F.lit("-- Document title "), F.array_join(before, ", "), F.lit(" -- \n"),
-            F.lit("-- Table title "), latest, F.lit(" -- \n"), t["html"],
-        )
 
-    return F.transform(tables, with_titles)
+    def of_kinds(kinds: Column) -> Column:
+        def with_titles(t: Column) -> Column:
+            before = F.transform(
+                F.filter(kinds["titles"], lambda h: h["i"] < t["i"]), lambda h: h["text"])
+            return let(before, lambda titles: F.concat(
+                F.lit("-- Document title "), F.array_join(titles, ", "), F.lit(" -- \n"),
+                F.lit("-- Table title "),
+                F.coalesce(F.try_element_at(titles, F.lit(-1)), F.lit("")), F.lit(" -- \n"),
+                t["html"],
+            ))
+
+        return F.transform(kinds["tables"], with_titles)
+
+    return let(placed, lambda every: let(F.struct(
+        F.filter(every, lambda e: e["category"] == "Title").alias("titles"),
+        F.filter(every, lambda e: (e["category"] == "Table") & e["html"].isNotNull())
+        .alias("tables"),
+    ), of_kinds))
 
 
 def sentences(text: Column | str) -> Column:
@@ -213,13 +225,14 @@ def word_chunks(
 
     The last run may be shorter but never holds shared words alone.
     """
+    def runs(words: Column) -> Column:
+        last = F.greatest(F.size(words) - overlap - 1, F.lit(0))
+        starts = F.sequence(F.lit(0), last, F.lit(length - overlap))
+        return F.transform(
+            starts, lambda s: F.array_join(F.slice(words, s + 1, F.lit(length)), " "))
+
     words = F.filter(F.split(squeeze(text), " "), lambda w: w != "")
-    count = F.size(words)
-    starts = F.sequence(
-        F.lit(0), F.greatest(count - overlap - 1, F.lit(0)), F.lit(length - overlap)
-    )
-    runs = F.transform(starts, lambda s: F.array_join(F.slice(words, s + 1, F.lit(length)), " "))
-    return F.filter(runs, lambda run: run != "")
+    return F.filter(let(words, runs), lambda run: run != "")
 
 
 def drop_numeric_lines(text: Column | str, share: float = DIGIT_WORD_SHARE) -> Column:

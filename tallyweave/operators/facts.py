@@ -92,7 +92,8 @@ def _by_role(
     """Facts of the wanted concepts, once per role they match, in one scan."""
     tests = {role: like_any("concept", patterns, exact) for role, patterns in concepts.items()}
     roles = F.array_compact(F.array(*[F.when(test, F.lit(role)) for role, test in tests.items()]))
-    return facts.filter(any_of(tests.values())).withColumn("role", F.explode(roles))
+    # A fact without a role has an empty array and gives no row.
+    return facts.withColumn("role", F.explode(roles))
 
 
 def concept_views(
@@ -103,7 +104,9 @@ def concept_views(
 ) -> DataFrame:
     """All concept views in one table: facts per role, numbered per period."""
     picked = _by_role(facts, concepts, exact).select("role", *FACT_ORDER, *PERIOD)
-    return number_rows(picked, ["role", *PERIOD], FACT_ORDER, "dup", hot_rows)
+    return number_rows(
+        picked, ["role", *PERIOD], FACT_ORDER, "dup", hot_rows, gauge=facts.select(*PERIOD)
+    )
 
 
 def concept_view(

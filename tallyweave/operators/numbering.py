@@ -35,18 +35,23 @@ def number_rows(
     order: Sequence[str],
     name: str,
     hot_rows: int = HOT_ROWS,
+    gauge: DataFrame | None = None,
 ) -> DataFrame:
     """`row_number` per group of `by` in `order`, for every row.
 
     Ordinary groups use a window. Groups with a great share of the rows are
     spread over range slices of `order`; see `number_in_slices`. Where only
     the first few rows per group are wanted use `first_rows` instead.
+
+    `gauge` is a cheaper table to find hot groups in, with some of the `by`
+    columns and rows in like proportion; by default `df` itself is scanned.
     """
-    hot = hot_groups(df, by, hot_rows)
+    gauge = df.select(*by) if gauge is None else gauge
+    hot = hot_groups(gauge, gauge.columns, hot_rows)
     window = Window.partitionBy(*by).orderBy(*order)
     if not hot:
         return df.withColumn(name, F.row_number().over(window).cast("long"))
-    is_hot = F.xxhash64(*by).isin(hot)
+    is_hot = F.xxhash64(*gauge.columns).isin(hot)
     ordinary = df.filter(~is_hot).withColumn(name, F.row_number().over(window).cast("long"))
     return ordinary.unionByName(number_in_slices(df.filter(is_hot), by, order, name))
 

@@ -83,7 +83,9 @@ def statement_rows(
     A reader that wants an order sorts the result; a view keeps none.
     """
     rows = _reported(sub, pre, num, roles, form, None)
-    return number_rows(rows, ["adsh", "stmt", "tag"], REPORT_ORDER, "dup", hot_rows)
+    tags = F.col("tag").isin(sorted({tag for _, tag in roles.values()}))
+    keys = num.select("adsh", "tag").unionByName(pre.select("adsh", "tag")).filter(tags)
+    return number_rows(rows, ["adsh", "stmt", "tag"], REPORT_ORDER, "dup", hot_rows, gauge=keys)
 
 
 def statement_view(
