@@ -105,7 +105,7 @@ def concept_views(
     """All concept views in one table: facts per role, numbered per period."""
     picked = _by_role(facts, concepts, exact).select("role", *FACT_ORDER, *PERIOD)
     return number_rows(
-        picked, ["role", *PERIOD], FACT_ORDER, "dup", hot_rows, gauge=facts.select(*PERIOD)
+        picked, [*PERIOD, "role"], FACT_ORDER, "dup", hot_rows, gauge=facts.select(*PERIOD)
     )
 
 
@@ -121,7 +121,7 @@ def pick_first(
 ) -> DataFrame:
     """The first fact per period and role, whatever its unit."""
     picked = _by_role(facts, concepts, exact).select("role", *FACT_ORDER, *PERIOD)
-    return first_rows(picked, ["role", *PERIOD], FACT_ORDER, 1, "dup").drop("dup")
+    return first_rows(picked, [*PERIOD, "role"], FACT_ORDER, 1, "dup").drop("dup")
 
 
 def _ratio_columns(df: DataFrame) -> DataFrame:

@@ -138,7 +138,8 @@ def replace_table(df: DataFrame, name: str) -> None:
 
     The rows go to a fresh folder first and the name is pointed at it after,
     so `df` may read the table it replaces and a failed write changes nothing.
-    Readers that have already planned keep the old folder.
+    Readers that have already planned keep the old folder; other sessions see
+    the new one through `current`.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"table-{name.replace('.', '-')}")
@@ -152,6 +153,12 @@ def replace_table(df: DataFrame, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
+def current(spark: SparkSession, name: str) -> DataFrame:
+    """The table as last published, also when another session did so."""
+    spark.catalog.refreshTable(name)
+    return spark.read.table(name)
+
+
 def _same_schema(spark: SparkSession, name: str, df: DataFrame) -> bool:
     held = [(f.name, f.dataType) for f in spark.table(name).schema]
     return held == [(f.name, f.dataType) for f in df.schema]

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.retrieval import text_vectors
 from ..operators.numbering import first_rows
-from ..operators.upkeep import replace_table
+from ..operators.upkeep import current, replace_table
 
 
 def upsert_vectors(
@@ -36,7 +36,7 @@ def follow_documents(
     A batch that runs twice gives the same index, as it is an upsert by key.
     """
     def apply(batch: DataFrame, _: int) -> None:
-        index = batch.sparkSession.read.table(table)
+        index = current(batch.sparkSession, table)
         replace_table(upsert_vectors(index, batch, key, text, version, model), table)
 
     trigger = {"processingTime": every} if every else {"availableNow": True}
