@@ -1,46 +1,52 @@
-"""A vector index kept in step with a stream of document changes."""
+"""A vector index kept in step with a stream of document versions.
 
-from __future__ import annotations
+The stream only appends the vectors of what arrived to a log, so a run costs
+as much as its documents. A reader lays the log over the base table, and
+`compact` folds it in on its own schedule.
+"""
 
+from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.retrieval import text_vectors
 from ..operators.numbering import first_rows
+from ..operators.retrieval import text_vectors
 from ..operators.upkeep import current, replace_table
 
 
-def upsert_vectors(
-    index: DataFrame, batch: DataFrame, key: str, text: str, version: str, model: PipelineModel
-) -> DataFrame:
-    """The index after a batch of document versions; the newest of a key counts.
-
-    A document whose text is NULL leaves the index.
-    """
-    order = [F.col(version).desc(), F.xxhash64(text)]
-    latest = first_rows(batch, [key], order, 1, "_n").drop("_n")
-    kept = index.join(latest.select(key), key, "left_anti")
-    fresh = text_vectors(model, latest.filter(F.col(text).isNotNull()).select(key, text))
-    return kept.unionByName(fresh.select(*index.columns))
-
-
 def follow_documents(
-    stream: DataFrame, table: str, key: str, text: str, version: str,
-    model: PipelineModel, checkpoint: str, every: str | None = None,
+    stream: DataFrame, key: str, text: str, version: str, model: PipelineModel,
+    log: str, checkpoint: str, every: str | None = None,
 ) -> StreamingQuery:
-    """Keep index `table` in step: once over what has arrived, or every interval.
+    """Append the vectors of arriving documents, once or every interval.
 
-    A batch that runs twice gives the same index, as it is an upsert by key.
+    A document whose text is NULL is to leave the index.
     """
-    def apply(batch: DataFrame, _: int) -> None:
-        index = current(batch.sparkSession, table)
-        replace_table(upsert_vectors(index, batch, key, text, version, model), table)
-
     trigger = {"processingTime": every} if every else {"availableNow": True}
+    vectors = text_vectors(model, stream.select(key, text, version))
     return (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        vectors.writeStream.format("parquet").outputMode("append")
+        .option("path", log).option("checkpointLocation", checkpoint)
+        .trigger(**trigger).start()
     )
+
+
+def index_now(base: DataFrame, log: DataFrame, key: str, text: str, version: str) -> DataFrame:
+    """The newest version of every document; older log entries change nothing."""
+    latest = first_rows(log, [key], [F.col(version).desc(), text], 1, "_n").drop("_n")
+    held = base.select(key, F.col(version).alias("_held"))
+    newer = latest.join(held, key, "left").filter(
+        F.col("_held").isNull() | (F.col(version) > F.col("_held"))
+    ).drop("_held")
+    kept = base.join(newer.select(key), key, "left_anti")
+    return kept.unionByName(newer.filter(F.col(text).isNotNull()).select(*base.columns))
+
+
+def compact(
+    spark: SparkSession, table: str, log: DataFrame, key: str, text: str, version: str
+) -> None:
+    """Fold the log into the base table. Running it again changes nothing."""
+    replace_table(index_now(current(spark, table), log, key, text, version), table)

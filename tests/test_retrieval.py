@@ -89,17 +89,21 @@ def test_index_follows_a_stream(spark, tmp_path):
     schema = "id long, text string, version long"
     model = rt.text_model(
         spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string"), "text", features=64)
-    empty = rt.text_vectors(model, spark.createDataFrame([], "id long, text string"))
-    replace_table(empty, "followed")
+    replace_table(rt.text_vectors(model, spark.createDataFrame([], schema)), "followed")
+    log = str(tmp_path / "log")
 
     def arrive(data):
         spark.createDataFrame(data, schema).write.mode("append").json(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
-        ix.follow_documents(stream, "followed", "id", "text", "version", model,
+        ix.follow_documents(stream, "id", "text", "version", model, log,
                             str(tmp_path / "progress")).awaitTermination()
-        return [(r.id, r.text) for r in current(spark, "followed").orderBy("id").collect()]
+        now = ix.index_now(
+            current(spark, "followed"), spark.read.parquet(log), "id", "text", "version")
+        assert rows(now) == rows(rt.text_vectors(model, now.select("id", "text", "version")))
+        return [(r.id, r.text) for r in now.orderBy("id").collect()]
 
     assert arrive([(1, "old", 1), (1, "new", 2), (2, "rain", 1)]) == [(1, "new"), (2, "rain")]
-    assert arrive([(2, None, 2), (3, "song", 1)]) == [(1, "new"), (3, "song")]
-    expected = rt.text_vectors(model, spark.createDataFrame([(1, "new"), (3, "song")], "id long, text string"))
-    assert rows(current(spark, "followed").select(*expected.columns)) == rows(expected)
+    for _ in range(2):
+        ix.compact(spark, "followed", spark.read.parquet(log), "id", "text", "version")
+        assert current(spark, "followed").count() == 2
+    assert arrive([(2, None, 2), (3, "song", 1), (1, "late", 1)]) == [(1, "new"), (3, "song")]
