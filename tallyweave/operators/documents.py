@@ -23,6 +23,7 @@ from .numbering import running_offset
 
 FIRST_SENTENCE_ID = 100
 SLICE_ROWS = 4_096
+HASH_SLICES = 65_536
 
 
 def gather(
@@ -137,7 +138,7 @@ def numbered_pieces(
     default documents are ordered by a hash bucket and their key.
     """
     if slice_of is None:
-        slice_of = F.pmod(F.xxhash64(key), F.lit(SLICE_ROWS))
+        slice_of = F.pmod(F.xxhash64(key), F.lit(HASH_SLICES))
     cut = documents.withColumn("_pieces", pieces)
     placed = running_offset(cut, key, F.coalesce(F.size("_pieces"), F.lit(0)), "_before", slice_of)
     exploded = placed.select("*", F.posexplode("_pieces").alias("_at", name))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import any_of, as_date, as_double, like_any, ratio
+from ..functions.values import as_date, as_double, like_any, ratio
 from .numbering import HOT_ROWS, first_rows, number_rows
 
 # The concept patterns of the seven balance-sheet views.
@@ -90,10 +90,11 @@ def _by_role(
     facts: DataFrame, concepts: Mapping[str, Sequence[str]], exact: bool
 ) -> DataFrame:
     """Facts of the wanted concepts, once per role they match, in one scan."""
-    tests = {role: like_any("concept", patterns, exact) for role, patterns in concepts.items()}
-    roles = F.array_compact(F.array(*[F.when(test, F.lit(role)) for role, test in tests.items()]))
-    # A fact without a role has an empty array and gives no row.
-    return facts.withColumn("role", F.explode(roles))
+    roles = [
+        F.when(like_any("concept", patterns, exact), F.lit(role))
+        for role, patterns in concepts.items()
+    ]
+    return facts.withColumn("role", F.explode(F.array(*roles))).filter("role is not null")
 
 
 def concept_views(
@@ -157,12 +158,10 @@ def ratios_left(
     that combine map side, so neither seven windows nor six joins are needed.
     Another role counts only when its unit is that of the total assets.
     """
-    tests = {role: like_any("concept", patterns, exact) for role, patterns in concepts.items()}
-    firsts = [
-        F.min(F.when(test, F.struct(*FACT_ORDER))).alias(role) for role, test in tests.items()
-    ]
+    fact = F.struct(*FACT_ORDER)
+    firsts = [F.min(F.when(F.col("role") == role, fact)).alias(role) for role in concepts]
     periods = (
-        facts.filter(any_of(tests.values()))
+        _by_role(facts, concepts, exact)
         .groupBy(*PERIOD).agg(*firsts)
         .filter(F.col("total_assets").isNotNull())
     )

@@ -39,10 +39,21 @@ def _wanted(roles: Mapping[str, tuple[str, str]]) -> Column:
 
 
 def _lines(pre: DataFrame, roles: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """How often each number key stands on a statement, one row per key."""
+    """How often each number key stands on a statement.
+
+    Counted per join key with one count per statement, so the join that
+    follows needs no further exchange.
+    """
+    names = sorted({stmt for stmt, _ in roles.values()})
+    counts = [F.count(F.when(F.col("stmt") == name, True)).alias(f"_{name}") for name in names]
+    found = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("stmt"), F.col(f"_{name}").alias("copies")) for name in names
+    ]))
     return (
-        pre.filter(_wanted(roles)).groupBy("adsh", "tag", "version", "stmt")
-        .agg(F.count("*").alias("copies"))
+        pre.filter(_wanted(roles)).groupBy("adsh", "tag", "version").agg(*counts)
+        .select("adsh", "tag", "version", found.alias("_s"))
+        .select("adsh", "tag", "version", "_s.stmt", "_s.copies")
+        .filter("copies > 0")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.values import as_date, as_double, like_any
 from ..operators import facts as facts_
 from ..operators import statements as st
-from ..sources.tables import parquet_table, scan_table
+from ..sources.tables import describe, parquet_table, scan_table
 from . import roles
 
 
@@ -62,6 +62,23 @@ def count_rows(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, folder, "lineitem").agg(F.count("*").alias("n"))
 
 
+_TYPES = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint",
+    "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double",
+    "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+    "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
+
+
+def describe_schema(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns and types of a table, with the values each column holds."""
+    lines = parquet_table(spark, folder, "lineitem")
+    lines.createOrReplaceTempView("tallyweave_lineitem")
+    counts = lines.agg(*[F.count(name).alias(name) for name in lines.columns])
+    held = counts.unpivot([], lines.columns, "col_name", "n_values")
+    return describe(spark, "tallyweave_lineitem").join(held, "col_name")
+
+
 def nested(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as quarterly files: one array of four facts in a struct."""
     def fact(column: str, unit: str):
@@ -301,6 +318,9 @@ QUERIES = {
                CAST(TRY_CAST(o_orderstatus AS DATE) AS VARCHAR) AS not_a_day
         FROM orders"""),
     "count_rows": (count_rows, "SELECT count(*) AS n FROM lineitem"),
+    "describe_schema": (describe_schema, " UNION ALL ".join(
+        f"SELECT '{name}' AS col_name, '{kind}' AS data_type, count({name}) AS n_values "
+        f"FROM lineitem" for name, kind in _TYPES.items())),
     "explode_nested": (explode_nested, _NESTED),
     "explode_two_level": (explode_two_level, _TWO_LEVEL),
     "struct_star": (struct_star, """

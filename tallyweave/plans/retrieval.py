@@ -162,9 +162,7 @@ def query_route(spark: SparkSession, folder: str) -> DataFrame:
 def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
     documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
     model = rt.text_model(documents, "text")
-    return rt.text_vectors(model, documents).select(
-        "doc_id", F.to_json("vector").alias("vector")
-    )
+    return rt.text_vectors(model, documents).select("doc_id", "vector")
 
 
 def index_sync(spark: SparkSession, folder: str) -> DataFrame:
