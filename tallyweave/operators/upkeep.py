@@ -128,9 +128,15 @@ def apply_changes(target: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(arrived)
 
 
-def create_table(df: DataFrame, name: str) -> None:
-    """Save as a table; fails when the name is taken."""
-    df.write.format("parquet").mode("errorifexists").saveAsTable(name)
+def create_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Save as a table; fails when the name is taken.
+
+    A table partitioned by, say, year lets readers of one year skip the rest.
+    """
+    writer = df.write.format("parquet").mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
 
 
 def replace_table(df: DataFrame, name: str) -> None:

@@ -70,10 +70,11 @@ def join_path_id(spark: SparkSession, folder: str) -> DataFrame:
     files = parquet_table(spark, folder, "labels").select(
         F.concat(F.lit("/volumes/files/"), F.col("doc_id").cast("string"), F.lit(".pdf"))
         .alias("file_name"),
-        "quality",
+        F.col("quality").cast("string").alias("quality"),
     )
     documents = _documents(spark, folder).select(F.col("doc_id").alias("id"), "lang")
-    return dc.join_by_path_id(documents, files)
+    joined = dc.join_by_path_id(documents, files)
+    return joined.withColumn("pdf_id", F.col("pdf_id").cast("string"))
 
 
 def url_file_year(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,7 +183,7 @@ QUERIES = {
         SELECT d.doc_id AS id, d.lang,
                CASE WHEN l.doc_id IS NOT NULL THEN '/volumes/files/' || l.doc_id || '.pdf' END
                    AS file_name,
-               l.quality, l.doc_id AS pdf_id
+               CAST(l.quality AS VARCHAR) AS quality, CAST(l.doc_id AS VARCHAR) AS pdf_id
         FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""),
     "url_file_year": (url_file_year, """
         SELECT page_id, list_extract(string_split(url, '/'), -1) AS file_name,

@@ -53,7 +53,7 @@ def safe_casts(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderkey",
         as_double("o_orderpriority").alias("not_a_number"),
         as_double(F.substring("o_orderpriority", 1, 1)).alias("priority"),
-        as_date(F.date_format("o_orderdate", "yyyy-MM-dd")).cast("string").alias("day"),
+        as_date(roles.day("o_orderdate")).cast("string").alias("day"),
         as_date("o_orderstatus").cast("string").alias("not_a_day"),
     )
 

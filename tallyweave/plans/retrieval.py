@@ -186,14 +186,14 @@ _SCORE = "round(list_inner_product(q.vector, c.vector), 9)"
 
 
 def _ranked(queries: str, query_id: str, corpus: str, k: int, skip: bool = True) -> str:
-    where = f"WHERE q.{query_id} <> c.passage_id" if skip else ""
+    where = f"q.{query_id} <> c.passage_id" if skip else "c.passage_id IS NOT NULL"
     return f"""
     hits AS (
         SELECT * FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id
                                          ORDER BY score DESC, passage_id) AS rank
             FROM (SELECT q.{query_id} AS query_id, c.passage_id, {_SCORE} AS score, c.label
-                  FROM {queries} q CROSS JOIN {corpus} c {where}))
+                  FROM {queries} q JOIN {corpus} c ON {where}))
         WHERE rank <= {k})"""
 
 

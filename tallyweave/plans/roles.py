@@ -13,7 +13,7 @@ def text(column: str):
 
 
 def day(column: str):
-    return F.date_format(column, "yyyy-MM-dd")
+    return F.col(column).cast("date").cast("string")
 
 
 def facts(spark: SparkSession, folder: str, value: str = "l_extendedprice") -> DataFrame:

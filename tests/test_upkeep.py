@@ -105,6 +105,11 @@ def test_tables(spark):
     up.create_table(_table(spark, TARGET), "fresh")
     with pytest.raises(Exception, match="exist"):
         up.create_table(_table(spark, TARGET), "fresh")
+    up.create_table(_table(spark, TARGET), "by_quarter", ["quarter"])
+    first = spark.table("by_quarter").filter("quarter = '1'")
+    assert first.count() == 2
+    assert "PartitionFilters: [isnotnull(quarter" in (
+        first._jdf.queryExecution().executedPlan().toString())
     up.create_table_as(spark, "derived", "SELECT symbol FROM fresh WHERE symbol IS NOT NULL")
     assert spark.table("derived").count() == 2
 
