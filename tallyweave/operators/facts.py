@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import as_date, as_double, like_any, ratio
+from ..functions.values import any_of, as_date, as_double, like_any, ratio
 from .numbering import HOT_ROWS, first_rows, number_rows
 
 # The concept patterns of the seven balance-sheet views.
@@ -89,12 +89,15 @@ def keep_first(facts: DataFrame) -> DataFrame:
 def _by_role(
     facts: DataFrame, concepts: Mapping[str, Sequence[str]], exact: bool
 ) -> DataFrame:
-    """Facts of the wanted concepts, once per role they match, in one scan."""
-    roles = [
-        F.when(like_any("concept", patterns, exact), F.lit(role))
-        for role, patterns in concepts.items()
-    ]
-    return facts.withColumn("role", F.explode(F.array(*roles))).filter("role is not null")
+    """Facts of the wanted concepts, once per role they match, in one scan.
+
+    Most facts of a filing have no role, so they go before the array of roles
+    is built; the tests reach the scan.
+    """
+    tests = {role: like_any("concept", patterns, exact) for role, patterns in concepts.items()}
+    roles = F.array(*[F.when(test, F.lit(role)) for role, test in tests.items()])
+    wanted = facts.filter(any_of(tests.values()))
+    return wanted.withColumn("role", F.explode(roles)).filter("role is not null")
 
 
 def concept_views(

@@ -69,10 +69,7 @@ def rag_context(spark: SparkSession, folder: str) -> DataFrame:
 def _prompts(spark: SparkSession, folder: str) -> DataFrame:
     """Every question with its grounded prompt and sources."""
     questions = _questions(spark, folder).select("query_id", "question")
-    found = questions.join(rt.contexts(_hits(spark, folder)), "query_id", "left")
-    return found.withColumn("prompt", pr.fill(
-        pr.WITH_CONTEXT, chat_history=F.lit(""), context="context", question="question"
-    ))
+    return rt.grounded_prompts(questions, _hits(spark, folder))
 
 
 def prompt_fill(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,9 +87,8 @@ def rag_eval(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("quality") == 1, "Yes, it is.").otherwise("No.").alias("answer"),
     )
     asked = _prompts(spark, folder).join(labels, "query_id", "left")
-    routed = pr.routed("answer", F.col("prompt"), F.coalesce("sources", F.array()))
     path = scratch_path(spark, "evaluation")
-    asked.select("question", routed.alias("r")).select("question", "r.*").write.parquet(path)
+    rt.evaluate(asked).write.parquet(path)
     return spark.read.parquet(path).withColumn("sources", F.array_join("sources", ","))
 
 
