@@ -242,9 +242,10 @@ def drop_numeric_lines(text: Column | str, share: float = DIGIT_WORD_SHARE) -> C
     def kept(line: Column) -> Column:
         words = F.regexp_count(line, F.lit("[^ \t\r\f]+"))
         numeric = F.regexp_count(line, F.lit("[^ \t\r\f0-9]*[0-9][^ \t\r\f]*"))
-        ends = F.rtrim(F.translate(line, "\t\r\f", "   ")).endswith(".")
         heavy = F.coalesce(F.try_divide(numeric, words) > share, F.lit(False))
-        return ~(heavy & ~ends)
+        ends = F.rtrim(F.translate(line, "\t\r\f", "   ")).endswith(".")
+        # Most lines have no digit and need no counting.
+        return F.when(line.rlike("[0-9]"), ~heavy | ends).otherwise(F.lit(True))
 
     return F.array_join(F.filter(lines, kept), "\n")
 
