@@ -13,8 +13,20 @@ from ..sources.tables import parquet_table
 from . import roles
 
 
+# Supplier keys are unique, so a file holds at most this many companies.
+BLOCK = 1_000
+
+
+def _write_blocks(documents: DataFrame, key: str, text, path: str) -> None:
+    """One file per block of keys; `text` makes its content from `documents`."""
+    blocks = documents.groupBy(F.floor(F.col(key) / BLOCK).alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct(*documents.columns))).alias("d")
+    )
+    blocks.select(text(F.col("d"))).write.option("maxRecordsPerFile", 1).text(path)
+
+
 def source_filings(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers as companies, one JSON file each, with a filing and its amendment."""
+    """Suppliers as companies in JSON files, with a filing and its amendment."""
     suppliers = parquet_table(spark, folder, "supplier")
     bs = F.array(F.struct(
         F.lit("Balance").alias("label"), F.lit("us-gaap_Assets").alias("concept"),
@@ -29,10 +41,11 @@ def source_filings(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     path = scratch_path(spark, "filings")
-    suppliers.select(
-        roles.text("s_suppkey").alias("cik"), F.col("s_name").alias("symbol"),
+    companies = suppliers.select(
+        F.col("s_suppkey").alias("cik"), F.col("s_name").alias("symbol"),
         F.array(filing("10-K"), filing("10-K/A")).alias("data"),
-    ).write.option("maxRecordsPerFile", 1).json(path)
+    )
+    _write_blocks(companies, "cik", F.to_json, path)
     return facts_.flatten_filings(files.read_filings(spark, path)).select(
         "cik", "symbol", "accessNumber", "form", "concept", "value"
     )
@@ -47,11 +60,12 @@ def source_quarterly(spark: SparkSession, folder: str) -> DataFrame:
         for label, column in (("Balance", "s_acctbal"), ("Nation", "s_nationkey"))
     ])
     path = scratch_path(spark, "quarterly")
-    suppliers.select(
-        F.lit("2022-01-01").alias("startDate"), F.lit("2022-03-31").alias("endDate"),
+    quarters = suppliers.select(
+        "s_suppkey", F.lit("2022-01-01").alias("startDate"), F.lit("2022-03-31").alias("endDate"),
         F.lit("2022").alias("year"), F.lit("1").alias("quarter"),
         F.col("s_name").alias("symbol"), F.struct(bs.alias("bs")).alias("data"),
-    ).write.option("maxRecordsPerFile", 1).json(path)
+    )
+    _write_blocks(quarters, "s_suppkey", F.to_json, path)
     return facts_.flatten_quarterly(files.read_quarterly(spark, path))
 
 
@@ -109,15 +123,19 @@ def source_piped(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_listing(spark: SparkSession, folder: str) -> DataFrame:
-    """Supplier names as one file each, listed by size and read whole."""
+    """Supplier names in text files, listed by size and read whole."""
     path = scratch_path(spark, "texts")
-    parquet_table(spark, folder, "supplier").select("s_name").write.option(
-        "maxRecordsPerFile", 1).text(path)
+    suppliers = parquet_table(spark, folder, "supplier").select("s_suppkey", "s_name")
+    _write_blocks(
+        suppliers, "s_suppkey",
+        lambda d: F.array_join(F.transform(d, lambda s: s["s_name"]), "\n"), path,
+    )
     listed = files.list_files(spark, path, "*.txt").select("path", "length")
     read = files.read_files(spark, path, "*.txt").select("path", "content")
     return listed.join(read, "path").select(
-        "length", F.trim(F.translate(F.decode("content", "UTF-8"), "\n", " ")).alias("text")
-    )
+        (F.col("length") == F.octet_length("content")).alias("whole"),
+        F.explode(F.split(F.trim(F.decode("content", "UTF-8")), "\n")).alias("text"),
+    ).filter("text <> ''")
 
 
 QUERIES = {
@@ -140,7 +158,5 @@ QUERIES = {
                strftime(l_shipdate, '%Y-%m-%d') AS ddate, CAST(l_linenumber AS BIGINT) AS uom,
                l_extendedprice AS value FROM lineitem"""),
     "source_piped": (source_piped, "SELECT page_id, url FROM pages"),
-    # A file ends with a line end, one byte more than its name.
-    "source_listing": (source_listing,
-                       "SELECT strlen(s_name) + 1 AS length, s_name AS text FROM supplier"),
+    "source_listing": (source_listing, "SELECT true AS whole, s_name AS text FROM supplier"),
 }
