@@ -296,6 +296,11 @@ def register(spark: SparkSession) -> None:
     define("file_name", "STRING", "element_at(split(value, '/'), -1)")
     define("years_in", "ARRAY<STRING>", f"regexp_extract_all(value, '{YEAR_PATTERN}', 0)")
     define("squeeze", "STRING", f"trim(regexp_replace(value, r'{_RAW_BLANKS}', ' '))")
+    words = f"filter(split(trim(regexp_replace(value, r'{_RAW_BLANKS}', ' ')), ' '), w -> w <> '')"
+    define("word_chunks", "ARRAY<STRING>", f"""
+        filter(element_at(transform(array({words}), w -> transform(
+            sequence(0, greatest(size(w) - {WORD_OVERLAP + 1}, 0), {WORD_LENGTH - WORD_OVERLAP}),
+            s -> array_join(slice(w, s + 1, {WORD_LENGTH}), ' '))), 1), run -> run <> '')""")
     define("html_decode", "STRING", _DECODE_SQL)
     stripped = "value"
     for pattern in (*_UNSEEN, _LINK, _TAG):

@@ -38,6 +38,9 @@ def test_sql_functions(spark):
     df = spark.createDataFrame([(PAGE,), ("a & b",), (None,)], "h string")
     both = df.select(tx.html_text("h").alias("a"), F.expr("html_text(h)").alias("b")).collect()
     assert all(r.a == r.b for r in both)
+    long = spark.createDataFrame([("w " * 250,), ("",), (None,)], "t string")
+    both = long.select(tx.word_chunks("t").alias("a"), F.expr("word_chunks(t)").alias("b")).collect()
+    assert all(r.a == r.b for r in both) and [len(r.a or []) for r in both] == [3, 0, 0]
     assert df.selectExpr("file_name('a/b.pdf') f", "squeeze(' a \n b') s").first() == ("b.pdf", "a b")
 
 
