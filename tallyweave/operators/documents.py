@@ -23,7 +23,6 @@ from .numbering import running_offset
 
 FIRST_SENTENCE_ID = 100
 SLICE_ROWS = 4_096
-HASH_SLICES = 65_536
 
 
 def gather(
@@ -129,27 +128,23 @@ def chunk_rows(
 
 def numbered_pieces(
     documents: DataFrame, key: str, pieces: Column, name: str, first: int,
-    slice_of: Column | None = None,
+    in_order: bool = False,
 ) -> DataFrame:
     """Explode an array per document and number the pieces of all documents.
 
-    The numbers are dense. Documents carry only the running total of piece
-    counts, so no row ever meets more than its own slice of documents; by
-    default documents are ordered by a hash bucket and their key.
+    The numbers are dense. With `in_order` they follow a numeric key; else
+    documents are taken by hash bucket and key. The key is unique.
     """
-    if slice_of is None:
-        slice_of = F.pmod(F.xxhash64(key), F.lit(HASH_SLICES))
-    cut = documents.withColumn("_pieces", pieces)
-    placed = running_offset(cut, key, F.coalesce(F.size("_pieces"), F.lit(0)), "_before", slice_of)
-    exploded = placed.select("*", F.posexplode("_pieces").alias("_at", name))
+    placed = running_offset(documents, key, F.coalesce(F.size(pieces), F.lit(0)), "_before", in_order)
+    exploded = placed.select("*", F.posexplode(pieces).alias("_at", name))
     number = (F.col("_before") + F.col("_at") + F.lit(first)).cast("long")
-    return exploded.withColumn("id", number).drop("_pieces", "_before", "_at")
+    return exploded.withColumn("id", number).drop("_before", "_at")
 
 
 def sentence_rows(
     documents: DataFrame, key: str, text: str,
-    first: int = FIRST_SENTENCE_ID, slice_of: Column | None = None,
+    first: int = FIRST_SENTENCE_ID, in_order: bool = False,
 ) -> DataFrame:
     """Sentences of all documents under one running number."""
-    numbered = numbered_pieces(documents, key, sentences(text), "content", first, slice_of)
+    numbered = numbered_pieces(documents, key, sentences(text), "content", first, in_order)
     return numbered.select("id", F.col(key).alias("title"), "content")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +14,9 @@ from ..session import durable
 # more than one part in HOT_SHARE of the input.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1_000
+# Rows of a slice for running sums, and the most slices there may be.
+SLICE_ROWS = 65_536
+MOST_SLICES = 10_000
 
 
 def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
@@ -107,17 +111,22 @@ def first_rows(
 
 
 def running_offset(
-    df: DataFrame, key: str, weight: Column, name: str, slice_of: Column
+    df: DataFrame, key: str, weight: Column, name: str, in_order: bool = False,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Sum of `weight` over all rows before this one, in (slice, key) order.
+    """`df` with the sum of `weight` over all rows before each row.
 
-    `slice_of` must be a function of `key` with a bounded number of keys per
-    value: a quotient of a dense integer keeps the integer order, a hash
-    bucket gives an arbitrary but stable one. Slice totals are pre-aggregated
-    map side and only they meet in one task.
+    `key` is unique and not NULL. With `in_order` it is a number and rows count
+    in its order; else the order is arbitrary but stable, by hash bucket.
+
+    Only keys and weights are sliced: at most MOST_SLICES totals meet in one
+    task, whatever the keys look like, and each slice is summed on its own.
+    The offsets then join the rows by key.
     """
-    weighed = df.withColumn("_slice", slice_of).withColumn("_weight", weight)
-    totals = weighed.groupBy("_slice").agg(F.sum("_weight").alias("_total"))
+    weighed = durable(df.select(key, weight.cast("long").alias("_weight")))
+    slices = min(MOST_SLICES, weighed.count() // slice_rows + 1)
+    sliced = _in_slices(weighed, key, slices, in_order)
+    totals = sliced.groupBy("_slice").agg(F.sum("_weight").alias("_total"))
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
         "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start")
@@ -125,9 +134,21 @@ def running_offset(
     inside = Window.partitionBy("_slice").orderBy(key).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    return (
-        weighed.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
+    offsets = (
+        sliced.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
         .join(starts, "_slice")
-        .withColumn(name, (F.col("_start") + F.col("_inside")).cast("long"))
-        .drop("_slice", "_weight", "_inside", "_start")
+        .select(key, (F.col("_start") + F.col("_inside")).alias(name))
+    )
+    return df.join(offsets, key)
+
+
+def _in_slices(df: DataFrame, key: str, slices: int, in_order: bool) -> DataFrame:
+    """`df` with a slice number: quantile ranges of the key, or hash buckets."""
+    if slices == 1:
+        return df.withColumn("_slice", F.lit(0))
+    if not in_order:
+        return df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(slices)))
+    ranges = QuantileDiscretizer(
+        inputCol=key, outputCol="_slice", numBuckets=slices, relativeError=0.1 / slices
     )
+    return ranges.fit(df).transform(df)

@@ -56,10 +56,23 @@ def test_group_limit_before_the_exchange(spark):
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
-def test_running_offset(spark):
-    df = spark.range(1000).select("id", (F.col("id") % 7).alias("w"))
-    placed = nb.running_offset(df, "id", F.col("w"), "before", F.floor(F.col("id") / 64))
+@pytest.mark.parametrize("in_order", [True, False])
+def test_running_offset(spark, in_order):
+    # Keys far apart and unevenly spread.
+    df = spark.range(1000).select(
+        (F.col("id") * F.col("id") * 1_000_003).alias("id"), (F.col("id") % 7 + 1).alias("w"))
+    placed = nb.running_offset(df, "id", F.col("w"), "before", in_order, slice_rows=64)
     total = 0
-    for row in placed.orderBy("id").collect():
+    for row in placed.orderBy("id" if in_order else "before").collect():
         assert row.before == total
         total += row.w
+
+
+def test_slices_are_even_and_ordered(spark):
+    df = spark.range(10_000).select((F.col("id") * F.col("id")).alias("id"))
+    sliced = nb._in_slices(df, "id", 20, True)
+    sizes = sliced.groupBy("_slice").agg(
+        F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")
+    ).orderBy("_slice").collect()
+    assert len(sizes) == 20 and max(s.n for s in sizes) < 1_000
+    assert all(s.b < t.a for s, t in zip(sizes, sizes[1:]))
