@@ -144,9 +144,7 @@ def running_offset(
 
 def _in_slices(df: DataFrame, key: str, slices: int, in_order: bool) -> DataFrame:
     """`df` with a slice number: quantile ranges of the key, or hash buckets."""
-    if slices == 1:
-        return df.withColumn("_slice", F.lit(0))
-    if not in_order:
+    if slices == 1 or not in_order:
         return df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(slices)))
     ranges = QuantileDiscretizer(
         inputCol=key, outputCol="_slice", numBuckets=slices, relativeError=0.1 / slices
