@@ -6,14 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import parquet_table
+from .bpe import bpe_digests
 from .exact import exact_groups
 from .simhash import simhash_groups
+from .token_counts import token_counts
+from .toxicity import fit, is_held_out, toxicity_scores
+
+PIECES = "piece_bpe_32k.model"
+WORDS = "word_bpe_49k.json"
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, by default that of the installed ones."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, folder, "documents")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = fit(docs, parquet_table(spark, folder, "labels"))
+    return toxicity_scores(docs, model).select(
+        "doc_id", is_held_out().alias("held_out"), "score", "predicted"
+    )
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(documents(spark, folder)).select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
@@ -35,7 +56,19 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM plain WINDOW same AS (PARTITION BY text)
 """
 
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(documents(spark, folder), vocabulary(PIECES))
+
+
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(documents(spark, folder), vocabulary(WORDS))
+
+
 QUERIES = {
+    "op2_toxicity": (op2_toxicity, None),
     "op4_simhash": (op4_simhash, None),
     "op6_exact": (op6_exact, OP6_EXACT),
+    "op7_token_counts": (op7_token_counts, None),
+    "op9_bpe": (op9_bpe, None),
 }
