@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import parquet_table
 from .bpe import bpe_digests
 from .exact import exact_groups
+from .mixing import mix
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .toxicity import fit, is_held_out, toxicity_scores
@@ -35,6 +36,76 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The mixture of op3: a source's domain is a rule over its name.
+DOMAIN = "substr(md5(coalesce(source, '')), 1, 1)"
+MIX_WEIGHTS = {"lang": {"en": 6, "de": 2, "fr": 2}, "source": {"src0": 2}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 2), 4, 20
+
+
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(
+        documents(spark, folder), F.expr(DOMAIN), MIX_SHARE, MIX_EPOCHS, MIX_SEED, MIX_WEIGHTS
+    )
+
+
+def _level_sql(name: str, nodes: str, parent: str, weight: str) -> str:
+    return f"""
+{name}_rate AS (
+    SELECT *, above - coalesce(sum(room) OVER (sorted ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+           sum(weight) OVER (sorted ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS onward
+    FROM (SELECT *, {weight} AS weight FROM ({nodes}))
+    WINDOW sorted AS (PARTITION BY {parent} ORDER BY room / weight, {name})),
+{name}_budget AS (
+    SELECT *, coalesce(least(room, rate.rest * weight // rate.onward), room) AS budget FROM (
+        SELECT *, first(CASE WHEN rest * weight // onward < room THEN {{'rest': rest, 'onward': onward}} END IGNORE NULLS)
+               OVER (PARTITION BY {parent} ORDER BY room / weight, {name}
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rate
+        FROM {name}_rate))"""
+
+
+OP3_MIXING = f"""
+WITH units AS (
+    SELECT {DOMAIN} AS domain, lang, source, doc_id,
+           sum(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS tokens
+    FROM documents GROUP BY ALL),
+leaves AS (
+    SELECT domain, lang, source, sum(tokens) AS tokens, count(*) AS docs,
+           sum(tokens) * {MIX_EPOCHS} AS room
+    FROM units GROUP BY ALL),""" + _level_sql(
+    "domain",
+    f"""SELECT domain, sum(room) AS room,
+               (SELECT sum(tokens) * {MIX_SHARE[0]} // {MIX_SHARE[1]} FROM units) AS above
+        FROM leaves GROUP BY ALL""", "1", "1") + "," + _level_sql(
+    "lang",
+    """SELECT leaves.domain, leaves.lang, sum(leaves.room) AS room, any_value(b.budget) AS above
+        FROM leaves JOIN domain_budget b ON leaves.domain = b.domain GROUP BY ALL""", "domain",
+    "CASE lang WHEN 'en' THEN 6 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END") + "," + _level_sql(
+    "source",
+    """SELECT leaves.*, b.budget AS above FROM leaves
+        JOIN lang_budget b ON leaves.domain = b.domain AND leaves.lang IS NOT DISTINCT FROM b.lang""",
+    "domain, lang", "CASE source WHEN 'src0' THEN 2 ELSE 1 END") + f""",
+planned AS (
+    SELECT u.*, CASE WHEN s.tokens > 0 THEN s.budget // s.tokens ELSE 1 END AS whole,
+           CASE WHEN s.tokens > 0 THEN s.budget % s.tokens ELSE 0 END AS part
+    FROM units u JOIN source_budget s
+      ON u.domain = s.domain AND u.lang IS NOT DISTINCT FROM s.lang
+     AND u.source IS NOT DISTINCT FROM s.source),
+placed AS (
+    SELECT *, coalesce(sum(tokens) OVER (
+                 PARTITION BY domain, lang, source
+                 ORDER BY substr(md5('{MIX_SEED}|' || whole || '|' || doc_id), 1, 15), doc_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+    FROM planned WHERE part > 0)
+SELECT doc_id, domain, lang, source, unnest(range(CAST(whole AS BIGINT))) AS epoch,
+       CAST(tokens AS BIGINT) AS tokens, CAST(NULL AS BIGINT) AS before, CAST(tokens AS BIGINT) AS taken
+FROM planned
+UNION ALL
+SELECT doc_id, domain, lang, source, CAST(whole AS BIGINT), CAST(tokens AS BIGINT),
+       CAST(earlier AS BIGINT), CAST(least(tokens, part - earlier) AS BIGINT)
+FROM placed WHERE earlier < part
+"""
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(documents(spark, folder)).select(
         "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
@@ -67,6 +138,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
+    "op3_mixing": (op3_mixing, OP3_MIXING),
     "op4_simhash": (op4_simhash, None),
     "op6_exact": (op6_exact, OP6_EXACT),
     "op7_token_counts": (op7_token_counts, None),
