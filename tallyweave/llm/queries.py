@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import parquet_table
 from .bpe import bpe_digests
 from .exact import exact_groups
+from .licenses import license_scan
 from .mixing import mix
 from .simhash import simhash_groups
 from .token_counts import token_counts
@@ -28,6 +29,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return parquet_table(spark, folder, "documents")
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(documents(spark, folder)).drop("spans")
+
+
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
     model = fit(docs, parquet_table(spark, folder, "labels"))
@@ -137,6 +142,7 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": (op1_licenses, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_mixing": (op3_mixing, OP3_MIXING),
     "op4_simhash": (op4_simhash, None),
