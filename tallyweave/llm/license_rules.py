@@ -89,76 +89,76 @@ bsd-3-clear    | clear       | (?:bsd 3 clause clear|clear bsd)(?: licen[sc]e)?
 bsd-4          | bsd         | (?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd|old bsd)(?: licen[sc]e)?
 bsd-patent     | patent      | bsd 2 clause plus patent(?: licen[sc]e)?
 bsd            | bsd         | bsd(?: style)? licen[sc]e
-apache-1       | apache      | apache (?:software )?licen[sc]e(?: version| v)? 1 0
-apache-1-1     | apache      | apache (?:software )?licen[sc]e(?: version| v)? 1 1
-apache-2       | apache      | apache (?:software )?licen[sc]e(?: version| v)? 2(?: 0)?
+apache-1       | apache      | apache (?:software )?licen[sc]e(?: version | v ?| )1 0
+apache-1-1     | apache      | apache (?:software )?licen[sc]e(?: version | v ?| )1 1
+apache-2       | apache      | apache (?:software )?licen[sc]e(?: version | v ?| )2(?: 0)?
 apache-2       | apache      | apache (?:software )?licen[sc]e v2(?: 0)?
 apache-2       | apache      | apache 2(?: 0)?(?: licen[sc]e)?
 apache         | apache      | apache (?:software )?licen[sc]e
-gpl-1          | gnu         | gnu general public licen[sc]e(?: version| v)? 1(?: 0)?
-gpl-2          | gnu         | gnu general public licen[sc]e(?: version| v)? 2(?: 0)?
-gpl-3          | gnu         | gnu general public licen[sc]e(?: version| v)? 3(?: 0)?
-gpl-2          | gpl         | (?:gnu )?gpl(?: version| v)? 2(?: 0)?
-gpl-3          | gpl         | (?:gnu )?gpl(?: version| v)? 3(?: 0)?
+gpl-1          | gnu         | gnu general public licen[sc]e(?: version | v ?| )1(?: 0)?
+gpl-2          | gnu         | gnu general public licen[sc]e(?: version | v ?| )2(?: 0)?
+gpl-3          | gnu         | gnu general public licen[sc]e(?: version | v ?| )3(?: 0)?
+gpl-2          | gpl         | (?:gnu )?gpl(?: version | v ?| )2(?: 0)?
+gpl-3          | gpl         | (?:gnu )?gpl(?: version | v ?| )3(?: 0)?
 gpl-2          | gplv2       | (?:gnu )?gplv2
 gpl-3          | gplv3       | (?:gnu )?gplv3
 gpl            | gpl         | (?:gnu )?gpl(?: licen[sc]e)?
 gpl            | gnu         | gnu general public licen[sc]e
-gpl-classpath  | classpath   | (?:gpl|gnu general public licen[sc]e)(?: version| v)? ?2?(?: 0)? with(?: the)? classpath exception
+gpl-classpath  | classpath   | (?:gpl|gnu general public licen[sc]e)(?: version | v ?| )?2?(?: 0)? with(?: the)? classpath exception
 gpl-linking    | exception   | (?:gpl|gnu general public licen[sc]e)(?: [0-9v]+){0,3} with(?: a)? linking exception
-lgpl-2         | library     | gnu library general public licen[sc]e(?: version| v)? 2(?: 0)?
-lgpl-2-1       | lesser      | gnu lesser general public licen[sc]e(?: version| v)? 2 1
-lgpl-3         | lesser      | gnu lesser general public licen[sc]e(?: version| v)? 3(?: 0)?
+lgpl-2         | library     | gnu library general public licen[sc]e(?: version | v ?| )2(?: 0)?
+lgpl-2-1       | lesser      | gnu lesser general public licen[sc]e(?: version | v ?| )2 1
+lgpl-3         | lesser      | gnu lesser general public licen[sc]e(?: version | v ?| )3(?: 0)?
 lgpl           | lesser      | (?:gnu )?lesser general public licen[sc]e
 lgpl           | library     | (?:gnu )?library general public licen[sc]e
-lgpl-2-1       | lgpl        | (?:gnu )?lgpl(?: version| v)? 2 1
-lgpl-3         | lgpl        | (?:gnu )?lgpl(?: version| v)? 3(?: 0)?
+lgpl-2-1       | lgpl        | (?:gnu )?lgpl(?: version | v ?| )2 1
+lgpl-3         | lgpl        | (?:gnu )?lgpl(?: version | v ?| )3(?: 0)?
 lgpl-3         | lgplv3      | (?:gnu )?lgplv3
 lgpl           | lgpl        | (?:gnu )?lgpl(?: licen[sc]e)?
-agpl-1         | affero      | affero general public licen[sc]e(?: version| v)? 1(?: 0)?
-agpl-3         | affero      | (?:gnu )?affero general public licen[sc]e(?: version| v)? 3(?: 0)?
+agpl-1         | affero      | affero general public licen[sc]e(?: version | v ?| )1(?: 0)?
+agpl-3         | affero      | (?:gnu )?affero general public licen[sc]e(?: version | v ?| )3(?: 0)?
 agpl           | affero      | (?:gnu )?affero general public licen[sc]e
-agpl-3         | agpl        | (?:gnu )?agpl(?: version| v)? 3(?: 0)?
+agpl-3         | agpl        | (?:gnu )?agpl(?: version | v ?| )3(?: 0)?
 agpl-3         | agplv3      | (?:gnu )?agplv3
 agpl           | agpl        | (?:gnu )?agpl(?: licen[sc]e)?
-gfdl-1-1       | documentation | gnu free documentation licen[sc]e(?: version| v)? 1 1
-gfdl-1-2       | documentation | gnu free documentation licen[sc]e(?: version| v)? 1 2
-gfdl-1-3       | documentation | gnu free documentation licen[sc]e(?: version| v)? 1 3
+gfdl-1-1       | documentation | gnu free documentation licen[sc]e(?: version | v ?| )1 1
+gfdl-1-2       | documentation | gnu free documentation licen[sc]e(?: version | v ?| )1 2
+gfdl-1-3       | documentation | gnu free documentation licen[sc]e(?: version | v ?| )1 3
 gfdl           | documentation | (?:gnu )?free documentation licen[sc]e
-mpl-1          | mozilla     | mozilla public licen[sc]e(?: version| v)? 1 0
-mpl-1-1        | mozilla     | mozilla public licen[sc]e(?: version| v)? 1 1
-mpl-2          | mozilla     | mozilla public licen[sc]e(?: version| v)? 2(?: 0)?
+mpl-1          | mozilla     | mozilla public licen[sc]e(?: version | v ?| )1 0
+mpl-1-1        | mozilla     | mozilla public licen[sc]e(?: version | v ?| )1 1
+mpl-2          | mozilla     | mozilla public licen[sc]e(?: version | v ?| )2(?: 0)?
 mpl            | mozilla     | mozilla public licen[sc]e
-mpl-2          | mpl         | mpl(?: version| v)? 2(?: 0)?
-epl-1          | eclipse     | eclipse public licen[sc]e(?: version| v)? 1(?: 0)?
-epl-2          | eclipse     | eclipse public licen[sc]e(?: version| v)? 2(?: 0)?
+mpl-2          | mpl         | mpl(?: version | v ?| )2(?: 0)?
+epl-1          | eclipse     | eclipse public licen[sc]e(?: version | v ?| )1(?: 0)?
+epl-2          | eclipse     | eclipse public licen[sc]e(?: version | v ?| )2(?: 0)?
 epl            | eclipse     | eclipse public licen[sc]e
-edl-1          | eclipse     | eclipse distribution licen[sc]e(?: version| v)? 1(?: 0)?
-cddl-1         | cddl        | cddl(?: version| v)? 1 0
-cddl-1-1       | cddl        | cddl(?: version| v)? 1 1
+edl-1          | eclipse     | eclipse distribution licen[sc]e(?: version | v ?| )1(?: 0)?
+cddl-1         | cddl        | cddl(?: version | v ?| )1 0
+cddl-1-1       | cddl        | cddl(?: version | v ?| )1 1
 cddl           | cddl        | cddl
 cddl           | development | common development and distribution licen[sc]e
-cpl-1          | common      | common public licen[sc]e(?: version| v)? 1 0
-cpal-1         | attribution | common public attribution licen[sc]e(?: version| v)? 1 0
-ipl-1          | ibm         | ibm public licen[sc]e(?: version| v)? 1 0
-spl-1          | sun         | sun public licen[sc]e(?: version| v)? 1 0
-npl-1-1        | netscape    | netscape public licen[sc]e(?: version| v)? 1 1
-qpl-1          | public      | q public licen[sc]e(?: version| v)? 1 0
-apsl-2         | apple       | apple public source licen[sc]e(?: version| v)? 2(?: 0)?
+cpl-1          | common      | common public licen[sc]e(?: version | v ?| )1 0
+cpal-1         | attribution | common public attribution licen[sc]e(?: version | v ?| )1 0
+ipl-1          | ibm         | ibm public licen[sc]e(?: version | v ?| )1 0
+spl-1          | sun         | sun public licen[sc]e(?: version | v ?| )1 0
+npl-1-1        | netscape    | netscape public licen[sc]e(?: version | v ?| )1 1
+qpl-1          | public      | q public licen[sc]e(?: version | v ?| )1 0
+apsl-2         | apple       | apple public source licen[sc]e(?: version | v ?| )2(?: 0)?
 apsl           | apple       | apple public source licen[sc]e
 ms-pl          | microsoft   | microsoft public licen[sc]e
 ms-rl          | microsoft   | microsoft reciprocal licen[sc]e
-eupl-1-1       | union       | european union public licen[sc]e(?: version| v)? 1 1
-eupl-1-2       | union       | european union public licen[sc]e(?: version| v)? 1 2
+eupl-1-1       | union       | european union public licen[sc]e(?: version | v ?| )1 1
+eupl-1-2       | union       | european union public licen[sc]e(?: version | v ?| )1 2
 eupl           | union       | european union public licen[sc]e
-osl-3          | open        | open software licen[sc]e(?: version| v)? 3(?: 0)?
-afl-3          | academic    | academic free licen[sc]e(?: version| v)? 3(?: 0)?
-afl-2-1        | academic    | academic free licen[sc]e(?: version| v)? 2 1
-artistic-1     | artistic    | artistic licen[sc]e(?: version| v)? 1(?: 0)?
-artistic-2     | artistic    | artistic licen[sc]e(?: version| v)? 2(?: 0)?
+osl-3          | open        | open software licen[sc]e(?: version | v ?| )3(?: 0)?
+afl-3          | academic    | academic free licen[sc]e(?: version | v ?| )3(?: 0)?
+afl-2-1        | academic    | academic free licen[sc]e(?: version | v ?| )2 1
+artistic-1     | artistic    | artistic licen[sc]e(?: version | v ?| )1(?: 0)?
+artistic-2     | artistic    | artistic licen[sc]e(?: version | v ?| )2(?: 0)?
 artistic       | artistic    | artistic licen[sc]e
 perl           | perl        | (?:under the )?same terms as perl(?: itself)?
-boost-1        | boost       | boost software licen[sc]e(?: version| v)? 1(?: 0)?
+boost-1        | boost       | boost software licen[sc]e(?: version | v ?| )1(?: 0)?
 boost          | boost       | boost (?:software )?licen[sc]e
 zlib           | zlib        | zlib(?: libpng)? licen[sc]e
 libpng         | libpng      | (?:libpng|png reference library) licen[sc]e
@@ -166,13 +166,13 @@ bzip2          | bzip2       | bzip2 licen[sc]e
 curl           | curl        | curl licen[sc]e
 openssl        | openssl     | openssl licen[sc]e
 ssleay         | ssleay      | ssleay licen[sc]e
-php-3          | php         | php licen[sc]e(?: version| v)? 3(?: 0| 01)?
-zpl-2-1        | zope        | zope public licen[sc]e(?: version| v)? 2 1
-zpl-2          | zope        | zope public licen[sc]e(?: version| v)? 2 0
+php-3          | php         | php licen[sc]e(?: version | v ?| )3(?: 0| 01)?
+zpl-2-1        | zope        | zope public licen[sc]e(?: version | v ?| )2 1
+zpl-2          | zope        | zope public licen[sc]e(?: version | v ?| )2 0
 ruby           | ruby        | ruby licen[sc]e
 vim            | vim         | vim licen[sc]e
 tcl            | tcl         | tcl tk licen[sc]e
-python-2       | psf         | psf licen[sc]e(?: version| v)? 2(?: 0)?
+python-2       | psf         | psf licen[sc]e(?: version | v ?| )2(?: 0)?
 python         | python      | python software foundation licen[sc]e
 postgresql     | postgresql  | postgresql licen[sc]e
 ncsa           | ncsa        | (?:university of illinois )?ncsa(?: open source)? licen[sc]e
@@ -183,29 +183,29 @@ wtfpl          | wtfpl       | wtfpl(?: version| v)?(?: 2)?
 beerware       | beerware    | beerware(?: licen[sc]e)?
 beerware       | beer        | beer ware licen[sc]e
 json           | json        | json licen[sc]e
-cecill-2-1     | cecill      | cecill(?: version| v)? 2 1
+cecill-2-1     | cecill      | cecill(?: version | v ?| )2 1
 cecill-b       | cecill      | cecill b
 cecill-c       | cecill      | cecill c
 cecill         | cecill      | cecill(?: licen[sc]e)?
-mulan-2        | mulan       | mulan (?:psl|permissive software licen[sc]e)(?: version| v)? ?2
-ecl-2          | educational | educational community licen[sc]e(?: version| v)? 2(?: 0)?
-upl-1          | universal   | universal permissive licen[sc]e(?: version| v)? 1(?: 0)?
-ofl-1-1        | font        | (?:sil )?open font licen[sc]e(?: version| v)? 1 1
+mulan-2        | mulan       | mulan (?:psl|permissive software licen[sc]e)(?: version | v ?| )?2
+ecl-2          | educational | educational community licen[sc]e(?: version | v ?| )2(?: 0)?
+upl-1          | universal   | universal permissive licen[sc]e(?: version | v ?| )1(?: 0)?
+ofl-1-1        | font        | (?:sil )?open font licen[sc]e(?: version | v ?| )1 1
 ofl            | font        | (?:sil )?open font licen[sc]e
 ofl            | ofl         | sil ofl
-lppl-1-3       | latex       | latex project public licen[sc]e(?: version| v)? 1 3
-odbl-1         | database    | open (?:data commons open )?database licen[sc]e(?: version| v)? ?1?(?: 0)?
+lppl-1-3       | latex       | latex project public licen[sc]e(?: version | v ?| )1 3
+odbl-1         | database    | open (?:data commons open )?database licen[sc]e(?: version | v ?| )?1?(?: 0)?
 odbl-1         | odbl        | odbl(?: 1 0)?
 odc-by-1       | commons     | open data commons attribution licen[sc]e
 pddl-1         | commons     | open data commons public domain dedication(?: and licen[sc]e)?
-ogl-3          | government  | open government licen[sc]e(?: version| v)? ?3?(?: 0)?
+ogl-3          | government  | open government licen[sc]e(?: version | v ?| )?3?(?: 0)?
 cdla-permissive | community  | community data licen[sc]e agreement permissive
 cdla-sharing   | community   | community data licen[sc]e agreement sharing
 openrail-m     | openrail    | (?:bigscience )?openrail m?(?: licen[sc]e)?
 rail           | responsible | responsible ai licen[sc]e
-busl-1-1       | business    | business source licen[sc]e(?: version| v)? 1 1
-sspl-1         | server      | server side public licen[sc]e(?: version| v)? ?1?
-elastic-2      | elastic     | elastic licen[sc]e(?: version| v)? 2(?: 0)?
+busl-1-1       | business    | business source licen[sc]e(?: version | v ?| )1 1
+sspl-1         | server      | server side public licen[sc]e(?: version | v ?| )?1?
+elastic-2      | elastic     | elastic licen[sc]e(?: version | v ?| )2(?: 0)?
 commons-clause | clause      | commons clause
 polyform-nc    | polyform    | polyform noncommercial licen[sc]e
 polyform-sb    | polyform    | polyform small business licen[sc]e
