@@ -309,7 +309,7 @@ class Rule:
 
 
 def _lines(table: str) -> list[list[str]]:
-    return [[part.strip() for part in line.split(" | ")] for line in table.strip().splitlines()]
+    return [[part.strip() for part in line.split(" | ", 2)] for line in table.strip().splitlines()]
 
 
 def _rule(label: str, keyword: str, pattern: str, priority: int, confidence: float) -> Rule:
