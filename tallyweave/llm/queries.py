@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.tables import parquet_table
 from .bpe import bpe_digests
 from .exact import exact_groups
+from .fingerprints import edited_fingerprints, written
 from .licenses import license_scan
 from .mixing import mix
 from .simhash import simhash_groups
@@ -141,6 +142,15 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(documents(spark, folder), vocabulary(WORDS))
 
 
+def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, folder)).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        written(F.col("fingerprint")).alias("fingerprint"),
+        written(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
 QUERIES = {
     "op1_licenses": (op1_licenses, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -149,4 +159,5 @@ QUERIES = {
     "op6_exact": (op6_exact, OP6_EXACT),
     "op7_token_counts": (op7_token_counts, None),
     "op9_bpe": (op9_bpe, None),
+    "op10_fingerprints": (op10_fingerprints, None),
 }
