@@ -14,6 +14,7 @@ from .mixing import mix
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .toxicity import fit, is_held_out, toxicity_scores
+from .warc import archived
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
@@ -138,6 +139,31 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(documents(spark, folder), vocabulary(PIECES))
 
 
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = archived(parquet_table(spark, folder, "pages"))
+    is_response = F.col("record_type") == "response"
+    return records.select(
+        "page_id",
+        F.when(is_response, F.octet_length("payload")).otherwise(F.col("bytes")).cast("long")
+        .alias("payload_bytes"),
+        F.when(is_response, F.sha1("payload")).otherwise(F.col("digest")).alias("payload_digest"),
+        "record_type", "refers_to",
+    )
+
+
+OP8_WARC = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages),
+grouped AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last_id FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
+FROM grouped
+"""
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(documents(spark, folder), vocabulary(WORDS))
 
@@ -158,6 +184,7 @@ QUERIES = {
     "op4_simhash": (op4_simhash, None),
     "op6_exact": (op6_exact, OP6_EXACT),
     "op7_token_counts": (op7_token_counts, None),
+    "op8_warc": (op8_warc, OP8_WARC),
     "op9_bpe": (op9_bpe, None),
     "op10_fingerprints": (op10_fingerprints, None),
 }
