@@ -9,6 +9,7 @@ from ..sources.tables import parquet_table
 from .bpe import bpe_digests
 from .exact import exact_groups
 from .fingerprints import edited_fingerprints, written
+from .html_text import page_texts
 from .licenses import license_scan
 from .mixing import mix
 from .simhash import simhash_groups
@@ -125,6 +126,10 @@ def op6_exact(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(parquet_table(spark, folder, "pages"))
+
+
 OP6_EXACT = """
 WITH plain AS (
     SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS text
@@ -182,6 +187,7 @@ QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_mixing": (op3_mixing, OP3_MIXING),
     "op4_simhash": (op4_simhash, None),
+    "op5_html": (op5_html, None),
     "op6_exact": (op6_exact, OP6_EXACT),
     "op7_token_counts": (op7_token_counts, None),
     "op8_warc": (op8_warc, OP8_WARC),
