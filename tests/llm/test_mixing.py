@@ -44,11 +44,11 @@ def plain_budgets(tokens, budget, epochs, weights):
     return out
 
 
-def plain_mix(data, share, epochs, seed, weights):
+def plain_mix(data, share, epochs, seed, weights, domain=lambda source: "x" if source == "s1" else "y"):
     units = defaultdict(int)
     for doc_id, text, lang, source, *_ in data:
         n = len(re.findall("[^\x20\x09-\x0d]+", text or ""))
-        units[("x" if source == "s1" else "y", lang, source, doc_id)] += n
+        units[(domain(source), lang, source, doc_id)] += n
     tokens = defaultdict(int)
     for unit, n in units.items():
         tokens[unit[:3]] += n
