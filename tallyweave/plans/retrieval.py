@@ -13,6 +13,8 @@ from ..sources.tables import parquet_table
 from .upkeep import _contents
 
 K = 4
+FEATURES = 1_024
+SYNC_FEATURES = 256
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,14 +24,16 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _questions(spark: SparkSession, folder: str) -> DataFrame:
-    """Benchmark items with their stored vectors."""
-    items = parquet_table(spark, folder, "benchmark").select(
+    return parquet_table(spark, folder, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("question")
     )
-    stored = parquet_table(spark, folder, "embeddings").select(
-        F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")
+
+
+def _probes(spark: SparkSession, folder: str) -> DataFrame:
+    """The query set of the vector searches: ids divisible by 100."""
+    return _vectors(spark, folder).filter("passage_id % 100 = 0").select(
+        F.col("passage_id").alias("query_id"), "vector"
     )
-    return items.join(stored, "query_id")
 
 
 def _passages(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,27 +44,37 @@ def _passages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
-    """The nearest other vectors of every vector."""
-    vectors = _vectors(spark, folder)
-    queries = vectors.select(F.col("passage_id").alias("query_id"), "vector")
-    return rt.top_k(vectors, queries, K, skip_same=True)
+    """The nearest other vectors."""
+    return rt.top_k(_vectors(spark, folder), _probes(spark, folder), K, skip_same=True)
 
 
 def vector_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    """The nearest vectors of one label for every question, with their label."""
+    """The nearest vectors of one label, with their label."""
     vectors = _vectors(spark, folder)
-    hits = rt.filtered_top_k(vectors, _questions(spark, folder), 5, F.col("label") == 3)
+    hits = rt.filtered_top_k(vectors, _probes(spark, folder), 5, F.col("label") == 3)
     return rt.with_columns_of(hits, vectors, "label")
 
 
-def _hits(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages are the documents that have a stored vector."""
+def _found(spark: SparkSession, folder: str, questions: DataFrame, column: str) -> DataFrame:
+    """The nearest of all documents to every question; one model makes both sides' vectors."""
     passages = _passages(spark, folder)
-    corpus = _vectors(spark, folder).join(passages.select("passage_id"), "passage_id", "left_semi")
-    hits = rt.top_k(corpus, _questions(spark, folder), K, skip_same=True)
+    model = rt.text_model(passages.select("content"), "content", FEATURES)
+
+    def vectors(texts: DataFrame, key: str, text: str) -> DataFrame:
+        return rt.text_vectors(
+            model, texts.select(key, F.col(text).alias("content")), "float64"
+        ).select(key, "vector")
+
+    hits = rt.top_k(
+        vectors(passages, "passage_id", "content"), vectors(questions, "query_id", column), K
+    )
     return rt.with_columns_of(hits, passages, "content", "source")
 
 
+def _hits(spark: SparkSession, folder: str) -> DataFrame:
+    return _found(spark, folder, _questions(spark, folder), "question")
+
+
 def rag_context(spark: SparkSession, folder: str) -> DataFrame:
     found = rt.contexts(_hits(spark, folder))
     return found.withColumn("sources", F.array_join("sources", ","))
@@ -68,8 +82,7 @@ def rag_context(spark: SparkSession, folder: str) -> DataFrame:
 
 def _prompts(spark: SparkSession, folder: str) -> DataFrame:
     """Every question with its grounded prompt and sources."""
-    questions = _questions(spark, folder).select("query_id", "question")
-    return rt.grounded_prompts(questions, _hits(spark, folder))
+    return rt.grounded_prompts(_questions(spark, folder), _hits(spark, folder))
 
 
 def prompt_fill(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,8 +107,9 @@ def rag_eval(spark: SparkSession, folder: str) -> DataFrame:
 
 def prompt_augment(spark: SparkSession, folder: str) -> DataFrame:
     best = _hits(spark, folder).filter("rank = 1").select("query_id", "content")
-    asked = _questions(spark, folder).join(best, "query_id")
-    return asked.select("query_id", pr.with_passage("question", "content").alias("prompt"))
+    asked = _questions(spark, folder).join(best, "query_id", "left")
+    passage = F.coalesce("content", F.lit(""))
+    return asked.select("query_id", pr.with_passage("question", passage).alias("prompt"))
 
 
 def prompt_defaults(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,54 +169,125 @@ def query_route(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dialog_prompts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a dialog's question is asked with: relevance, rewriting, short and instructed answers."""
+    dialogs = _dialogs(spark, folder)
+    history = pr.transcript("history")
+    return dialogs.select(
+        "conv_id",
+        pr.fill(pr.RELEVANCE, chat_history=history, question="question").alias("relevance"),
+        pr.fill(pr.REWRITE, chat_history=history, question="question").alias("rewriting"),
+        pr.fill(pr.ASSISTANT, question="question").alias("short_answer"),
+        pr.fill(pr.INSTRUCTION, system=F.lit(pr.SYSTEM), instruction="question").alias("instructed"),
+    )
+
+
+def dialog_grounded(spark: SparkSession, folder: str) -> DataFrame:
+    """The grounded prompt of every dialog, with its history and passages for its question."""
+    asked = _dialogs(spark, folder).withColumnRenamed("conv_id", "query_id")
+    hits = _found(spark, folder, asked, "question")
+    return rt.grounded_prompts(asked, hits, history="history").select(
+        F.col("query_id").alias("conv_id"), F.md5("prompt").alias("prompt_md5"),
+        F.array_join("sources", ",").alias("sources"),
+    )
+
+
+def _weights(vectors: DataFrame, *keys: str) -> DataFrame:
+    """The weights that are not 0, a row each; a text without any has one row."""
+    placed = F.transform("vector", lambda value, at: F.struct(at.alias("at"), value.alias("value")))
+    some = F.filter(placed, lambda item: item["value"] != 0)
+    return vectors.select(*keys, F.explode_outer(some).alias("w")).select(
+        *keys, F.col("w.at").cast("long").alias("bucket"), F.round("w.value", 6).alias("weight")
+    )
+
+
 def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
     documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
-    model = rt.text_model(documents, "text")
-    return rt.text_vectors(model, documents).select("doc_id", "vector")
+    model = rt.text_model(documents, "text", FEATURES)
+    return _weights(rt.text_vectors(model, documents, "float64"), "doc_id")
 
 
 def index_sync(spark: SparkSession, folder: str) -> DataFrame:
     """An index over the documents before, brought in step with those after."""
     before, after = (d.select("id", "content") for d in _contents(spark, folder))
-    model = rt.text_model(before, "content", features=256)
-    index = rt.text_vectors(model, before)
-    synced = rt.sync_index(index, after, "id", "content", model)
-    return synced.select(
-        "id", F.md5("content").alias("content_md5"),
-        F.size("vector").cast("long").alias("dimensions"),
-    )
+    model = rt.text_model(before, "content", SYNC_FEATURES)
+    index = rt.text_vectors(model, before, "float64")
+    synced = rt.sync_index(index, after, "id", "content", model, "float64")
+    return _weights(synced.withColumn("content_md5", F.md5("content")), "id", "content_md5")
 
 
 _STORED = """
     vectors AS (SELECT vec_id AS passage_id, CAST(embedding AS DOUBLE[]) AS vector, label
                 FROM embeddings),
-    questions AS (SELECT item_id AS query_id, text AS question, vector
-                  FROM benchmark JOIN vectors ON passage_id = item_id)"""
-_SCORE = "round(list_inner_product(q.vector, c.vector), 9)"
+    probes AS (SELECT passage_id AS query_id, vector FROM vectors WHERE passage_id % 100 = 0)"""
 
 
-def _ranked(queries: str, query_id: str, corpus: str, k: int, skip: bool = True) -> str:
-    where = f"q.{query_id} <> c.passage_id" if skip else "c.passage_id IS NOT NULL"
+def _ranked(scores: str, k: int) -> str:
     return f"""
     hits AS (
         SELECT * FROM (
             SELECT *, row_number() OVER (PARTITION BY query_id
                                          ORDER BY score DESC, passage_id) AS rank
-            FROM (SELECT q.{query_id} AS query_id, c.passage_id, {_SCORE} AS score, c.label
-                  FROM {queries} q JOIN {corpus} c ON {where}))
+            FROM ({scores}))
         WHERE rank <= {k})"""
 
 
-_HITS = f"""{_STORED},
+def _near(condition: str, k: int) -> str:
+    return _ranked(f"""
+        SELECT q.query_id, c.passage_id, c.label,
+               round(list_inner_product(q.vector, c.vector), 9) AS score
+        FROM probes q JOIN vectors c ON {condition}""", k)
+
+
+def _word_weights(name: str, texts: str, fitted: str, features: int) -> str:
+    """Weights of `texts` (id, content) by the word frequencies in `fitted`."""
+
+    def counts(source: str) -> str:
+        return f"""
+            SELECT id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % {features} AS bucket,
+                   count(*) AS n
+            FROM (SELECT id, unnest(regexp_split_to_array(
+                             lower(coalesce(content, '')), '[^\\pL\\pN]+')) AS word
+                  FROM ({source}))
+            WHERE word <> '' GROUP BY ALL"""
+
+    return f"""
+    {name}_raw AS (
+        SELECT id, bucket, n * ln((total + 1) / (having_it + 1)) AS weight
+        FROM ({counts(texts)})
+        JOIN (SELECT bucket, count(*) AS having_it FROM ({counts(fitted)}) GROUP BY ALL)
+        USING (bucket), (SELECT count(*) AS total FROM ({fitted}))),
+    {name} AS (
+        SELECT id, bucket, weight / sqrt(sum(weight * weight) OVER (PARTITION BY id)) AS weight
+        FROM {name}_raw WHERE weight <> 0)"""
+
+
+def _text_hits(asked: str) -> str:
+    """Hits of `asked` (id, content) among all documents."""
+    documents = "SELECT doc_id AS id, text AS content FROM documents"
+    return f"""
     passages AS (SELECT doc_id AS passage_id, text AS content, source || '/' || doc_id AS source
                  FROM documents),
-    corpus AS (SELECT * FROM vectors WHERE passage_id IN (SELECT doc_id FROM documents)),
-    {_ranked("questions", "query_id", "corpus", K)}"""
-_CONTEXTS = f"""{_HITS},
+    {_word_weights("passage_weights", documents, documents, FEATURES)},
+    {_word_weights("query_weights", asked, documents, FEATURES)},
+    products AS (
+        SELECT q.id AS query_id, p.id AS passage_id, sum(q.weight * p.weight) AS score
+        FROM query_weights q JOIN passage_weights p USING (bucket) GROUP BY ALL),
+    {_ranked(f"""
+        SELECT q.id AS query_id, p.passage_id, round(coalesce(score, 0), 9) AS score
+        FROM ({asked}) q CROSS JOIN passages p
+        LEFT JOIN products s ON s.query_id = q.id AND s.passage_id = p.passage_id""", K)}"""
+
+
+_HITS = f"""
+    questions AS (SELECT item_id AS query_id, text AS question FROM benchmark),
+    {_text_hits("SELECT query_id AS id, question AS content FROM questions")}"""
+_GATHERED = """
     contexts AS (
         SELECT query_id, string_agg(content, chr(10) || chr(10) ORDER BY rank) AS context,
                string_agg(source, ',' ORDER BY rank) AS sources
         FROM hits JOIN passages USING (passage_id) GROUP BY query_id)"""
+_CONTEXTS = f"{_HITS},{_GATHERED}"
 
 
 def _filled(template: str, **slots: str) -> str:
@@ -233,11 +318,10 @@ _DIALOGS = """
 
 QUERIES = {
     "vector_topk": (vector_topk, f"""WITH {_STORED},
-        {_ranked("vectors", "passage_id", "vectors", K)}
+        {_near("q.query_id <> c.passage_id", K)}
         SELECT query_id, passage_id, score, rank FROM hits"""),
     "vector_topk_filtered": (vector_topk_filtered, f"""WITH {_STORED},
-        labelled AS (SELECT * FROM vectors WHERE label = 3),
-        {_ranked("questions", "query_id", "labelled", 5, skip=False)}
+        {_near("c.label = 3", 5)}
         SELECT query_id, passage_id, score, rank, label FROM hits"""),
     "rag_context": (rag_context, f"WITH {_CONTEXTS} SELECT * FROM contexts"),
     "prompt_fill": (prompt_fill, f"WITH {_PROMPTS} SELECT query_id, prompt FROM prompts"),
@@ -266,11 +350,31 @@ QUERIES = {
                {_filled(pr.WITH_HISTORY, chat_history="chat_history", question="question")}
                    AS prompt
         FROM dialogs"""),
-    # Hashed weights have no counterpart in SQL; see the test against NumPy.
-    "text_vectors": (text_vectors, None),
-    "index_sync": (index_sync, """
-        SELECT doc_id AS id,
-               md5(CASE WHEN lang = 'fr' THEN text || ' (revised)' ELSE text END) AS content_md5,
-               CAST(256 AS BIGINT) AS dimensions
-        FROM documents WHERE lang <> 'en'"""),
+    "dialog_prompts": (dialog_prompts, f"""WITH {_DIALOGS}
+        SELECT conv_id,
+               {_filled(pr.RELEVANCE, chat_history="chat_history", question="question")} AS relevance,
+               {_filled(pr.REWRITE, chat_history="chat_history", question="question")} AS rewriting,
+               {_filled(pr.ASSISTANT, question="question")} AS short_answer,
+               {_filled(pr.INSTRUCTION.replace("{system}", pr.SYSTEM), instruction="question")}
+                   AS instructed
+        FROM dialogs"""),
+    "dialog_grounded": (dialog_grounded, f"""WITH {_DIALOGS},
+        {_text_hits("SELECT conv_id AS id, question AS content FROM dialogs")},{_GATHERED}
+        SELECT conv_id, coalesce(sources, '') AS sources,
+               md5({_filled(pr.WITH_CONTEXT, chat_history="chat_history",
+                            context="coalesce(context, '')", question="question")}) AS prompt_md5
+        FROM dialogs LEFT JOIN contexts ON query_id = conv_id"""),
+    "text_vectors": (text_vectors, f"""WITH
+        {_word_weights("weights", *["SELECT doc_id AS id, text AS content FROM documents"] * 2,
+                       FEATURES)}
+        SELECT doc_id, bucket, round(weight, 6) AS weight
+        FROM documents LEFT JOIN weights ON id = doc_id"""),
+    "index_sync": (index_sync, f"""WITH
+        before AS (SELECT doc_id AS id, text AS content FROM documents WHERE lang <> 'de'),
+        after AS (SELECT doc_id AS id,
+                         CASE WHEN lang = 'fr' THEN text || ' (revised)' ELSE text END AS content
+                  FROM documents WHERE lang <> 'en'),
+        {_word_weights("weights", "SELECT * FROM after", "SELECT * FROM before", SYNC_FEATURES)}
+        SELECT after.id, md5(content) AS content_md5, bucket, round(weight, 6) AS weight
+        FROM after LEFT JOIN weights ON weights.id = after.id"""),
 }

@@ -35,7 +35,7 @@ def brute_force(data, k, skip_same):
 
 
 @pytest.mark.parametrize("how", [
-    {}, {"skip_same": True}, {"block": 7, "slice_vectors": 25, "skip_same": True}])
+    {}, {"skip_same": True}, {"block_bytes": 500, "slice_bytes": 1_500, "skip_same": True}])
 def test_top_k_equals_brute_force(vectors, how):
     data, df = vectors
     queries = df.withColumnRenamed("passage_id", "query_id")
@@ -52,6 +52,19 @@ def test_filter_and_no_queries(vectors):
     assert rt.top_k(df, queries.filter("query_id < 0"), 2).count() == 0
 
 
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    odd = [(10, [nan, 1.0]), (11, [None, 1.0]), (12, [inf, 1.0]), (13, None)]
+    corpus = spark.createDataFrame(
+        [(i, [1.0, float(i)]) for i in range(5)] + odd, "passage_id long, vector array<double>")
+    queries = spark.createDataFrame([(1, [1.0, 1.0]), (2, [nan, 0.0])], "query_id long, vector array<double>")
+    hits = rt.top_k(corpus.coalesce(1), queries, 4)
+    assert [(r.query_id, r.passage_id) for r in hits.orderBy("rank").collect()] == [(1, 4), (1, 3), (1, 2), (1, 1)]
+    wrong = corpus.unionByName(spark.createDataFrame([(77, [1.0] * 3)], corpus.schema))
+    with pytest.raises(Exception, match="passage_id [0-9]+ has a vector of"):
+        rt.top_k(wrong, queries, 2).collect()
+
+
 def test_contexts_in_rank_order(spark):
     hits = spark.createDataFrame(
         [(1, 2, "b", "u2"), (1, 1, "a", "u1"), (2, 1, "c", "u3")],
@@ -60,7 +73,7 @@ def test_contexts_in_rank_order(spark):
 
 
 def test_text_vectors_by_hand(spark):
-    """Weights follow from word counts; the hash only picks the place."""
+    """Weights follow from word counts; the bucket only picks the place."""
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
     model = rt.text_model(df, "text", features=4096)
     got = {r.id: np.array(r.vector) for r in rt.text_vectors(model, df).collect()}
