@@ -19,7 +19,8 @@ from ..functions.text import (
     table_texts,
     years_in,
 )
-from .numbering import running_offset
+from .numbering import SLICE_ROWS as NUMBERED_ROWS
+from .numbering import running_numbers
 
 FIRST_SENTENCE_ID = 100
 SLICE_ROWS = 4_096
@@ -128,23 +129,25 @@ def chunk_rows(
 
 def numbered_pieces(
     documents: DataFrame, key: str, pieces: Column, name: str, first: int,
-    in_order: bool = False,
+    keep: Sequence[str] = (), slice_rows: int = NUMBERED_ROWS,
 ) -> DataFrame:
     """Explode an array per document and number the pieces of all documents.
 
-    The numbers are dense. With `in_order` they follow a numeric key; else
-    documents are taken by hash bucket and key. The key is unique.
+    The numbers are dense and follow the key and the place in the array; rows
+    with one key have different numbers. Pieces are cut once; they, the key and
+    the columns to `keep` are all that moves.
     """
-    placed = running_offset(documents, key, F.coalesce(F.size(pieces), F.lit(0)), "_before", in_order)
-    exploded = placed.select("*", F.posexplode(pieces).alias("_at", name))
-    number = (F.col("_before") + F.col("_at") + F.lit(first)).cast("long")
-    return exploded.withColumn("id", number).drop("_before", "_at")
+    exploded = documents.select(key, *keep, F.posexplode(pieces).alias("_place", name))
+    numbered = running_numbers(exploded, [key, "_place"], "id", first, slice_rows)
+    return numbered.drop("_place")
 
 
 def sentence_rows(
-    documents: DataFrame, key: str, text: str,
-    first: int = FIRST_SENTENCE_ID, in_order: bool = False,
+    documents: DataFrame, key: str, text: str, first: int = FIRST_SENTENCE_ID,
+    slice_rows: int = NUMBERED_ROWS,
 ) -> DataFrame:
-    """Sentences of all documents under one running number."""
-    numbered = numbered_pieces(documents, key, sentences(text), "content", first, in_order)
+    """Sentences of all documents under one running number, in the order of the key."""
+    numbered = numbered_pieces(
+        documents, key, sentences(text), "content", first, slice_rows=slice_rows
+    )
     return numbered.select("id", F.col(key).alias("title"), "content")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import any_of, as_date, as_double, like_any, ratio
-from .numbering import HOT_ROWS, first_rows, number_rows
+from .numbering import SLICE_ROWS, first_rows, number_rows
 
 # The concept patterns of the seven balance-sheet views.
 CONCEPTS = {
@@ -70,13 +70,13 @@ def _typed(facts: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def annotate_duplicates(facts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def annotate_duplicates(facts: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Number the facts that repeat one value text inside a period.
 
     The value is compared as text: `1` and `1.0` differ.
     """
     order = ["label", "concept", "unit", "startDate", "endDate"]
-    numbered = number_rows(facts, ["value", *PERIOD], order, "DuplicateCount", hot_rows)
+    numbered = number_rows(facts, ["value", *PERIOD], order, "DuplicateCount", slice_rows)
     return _typed(numbered, "DuplicateCount")
 
 
@@ -104,20 +104,18 @@ def concept_views(
     facts: DataFrame,
     concepts: Mapping[str, Sequence[str]] = CONCEPTS,
     exact: bool = False,
-    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """All concept views in one table: facts per role, numbered per period."""
     picked = _by_role(facts, concepts, exact).select("role", *FACT_ORDER, *PERIOD)
-    return number_rows(
-        picked, [*PERIOD, "role"], FACT_ORDER, "dup", hot_rows, gauge=facts.select(*PERIOD)
-    )
+    return number_rows(picked, [*PERIOD, "role"], FACT_ORDER, "dup", slice_rows)
 
 
 def concept_view(
-    facts: DataFrame, patterns: Sequence[str], exact: bool = False, hot_rows: int = HOT_ROWS
+    facts: DataFrame, patterns: Sequence[str], exact: bool = False, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """One concept view."""
-    return concept_views(facts, {"one": patterns}, exact, hot_rows).drop("role")
+    return concept_views(facts, {"one": patterns}, exact, slice_rows).drop("role")
 
 
 def pick_first(

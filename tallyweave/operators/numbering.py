@@ -1,100 +1,90 @@
-"""Row numbers that hold up when one group has a large share of all rows."""
+"""Row numbers by one path, however many rows a group has."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import stored
 
-# A group is numbered in one task unless it holds more rows than this and
-# more than one part in HOT_SHARE of the input.
-HOT_ROWS = 1_000_000
-HOT_SHARE = 1_000
-# Rows of a slice for running sums, and the most slices there may be.
-SLICE_ROWS = 65_536
-MOST_SLICES = 10_000
+# Rows that one task sorts and numbers; more rows make more slices.
+SLICE_ROWS = 1_000_000
+# Spark's row ids count from 0 in each partition, above this many bits.
+_ID_BITS = 33
 
 
-def hot_groups(df: DataFrame, by: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
-    """Hashes of the groups too large for one task, at most HOT_SHARE of them.
+def in_slices(df: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """`df` sorted by `keys` and cut into slices, stored, with `_slice` and `_at`.
 
-    One scan of the key columns with a frequent-items sketch, merged map side.
-    The sketch only chooses the way a group is numbered, never the numbers.
+    `_slice` ascends with the keys and `_at` counts from 0 in each slice.
+    Slices have about `slice_rows` rows even where all keys are equal: a
+    position breaks ties. It is stored first, so a task run again sends the
+    same rows to the same slices.
     """
-    top = df.select(F.xxhash64(*by).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_SHARE}, {16 * HOT_SHARE})").alias("top"),
-        F.count("*").alias("n"),
-    ).first()
-    floor = max(hot_rows, top["n"] / HOT_SHARE)
-    return [item["item"] for item in top["top"] or [] if item["count"] > floor]
+    placed = stored(df.withColumn("_position", F.monotonically_increasing_id()), "rows")
+    slices = placed.count() // slice_rows + 1
+    order = [*keys, "_position"]
+    numbered = stored(
+        placed.repartitionByRange(slices, *order).sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id()).drop("_position"),
+        "slices",
+    )
+    return numbered.withColumns({
+        "_slice": F.shiftright("_id", _ID_BITS),
+        "_at": F.col("_id").bitwiseAND(F.lit((1 << _ID_BITS) - 1)),
+    }).drop("_id")
 
 
-def number_rows(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[str],
-    name: str,
-    hot_rows: int = HOT_ROWS,
-    gauge: DataFrame | None = None,
+def running_numbers(
+    df: DataFrame, keys: Sequence[str], name: str, first: int = 0, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """`row_number` per group of `by` in `order`, for every row.
-
-    Ordinary groups use a window. Groups with a great share of the rows are
-    spread over range slices of `order`; see `number_in_slices`. Where only
-    the first few rows per group are wanted use `first_rows` instead.
+    """`df` with dense numbers over all rows in the order of `keys`.
 
-    `gauge` is a cheaper table to find hot groups in, with some of the `by`
-    columns and rows in like proportion; by default `df` itself is scanned.
+    Rows are shuffled once; the sizes of the slices, one row each, are summed
+    in one task and come back to the rows. Equal keys get different numbers.
     """
-    gauge = df.select(*by) if gauge is None else gauge
-    hot = hot_groups(gauge, gauge.columns, hot_rows)
-    window = Window.partitionBy(*by).orderBy(*order)
-    if not hot:
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
-    is_hot = F.xxhash64(*gauge.columns).isin(hot)
-    ordinary = df.filter(~is_hot).withColumn(name, F.row_number().over(window).cast("long"))
-    return ordinary.unionByName(number_in_slices(df.filter(is_hot), by, order, name))
+    sliced = in_slices(df, keys, slice_rows)
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sliced.groupBy("_slice").agg(F.count("*").alias("_size")).select(
+        "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
+    )
+    # one row per slice, of which there is one for each `slice_rows` rows
+    return sliced.join(F.broadcast(starts), "_slice").select(
+        *df.columns, (F.col("_start") + F.col("_at") + F.lit(first)).cast("long").alias(name)
+    )
 
 
-def number_in_slices(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str
+def number_rows(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], name: str,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """The same numbers from range slices: a group may span many tasks.
+    """`row_number` per group of `by` in `order`, for every row.
 
-    Rows are range-partitioned by group and order, stored, and numbered inside
-    each slice. A position breaks up runs of equal rows; it is stored before
-    the exchange, so a task run again sends the same rows to the same slices.
-    A slice can start in the middle of one group only, so there are at most
-    as many offsets as slices and they are safe to broadcast.
+    A group may span many slices. Every slice numbers its part; only the group
+    that a slice begins with can have rows before it, so there is at most one
+    offset per slice. Where only the first few rows per group are wanted use
+    `first_rows` instead.
     """
-    columns = df.columns
-    placed = durable(df.withColumn("_position", F.monotonically_increasing_id()))
-    sliced = durable(
-        placed.repartitionByRange(*by, *order, "_position")
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    sizes = sliced.groupBy(*by, "_slice").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
+    sliced = in_slices(df, [*by, *order], slice_rows)
+    part = Window.partitionBy("_slice", *by)
+    begun = sliced.withColumn("_inside", F.col("_at") - F.min("_at").over(part))
+    edges = (
+        sliced.groupBy("_slice", *by).agg(F.count("*").alias("_size"), F.min("_at").alias("_from"))
     )
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        sizes.withColumn("_offset", F.sum("_size").over(before))
-        .filter("_offset > 0")
-        .select(*[F.col(key).alias(f"_by_{key}") for key in by],
-                F.col("_slice").alias("_in_slice"), "_offset")
+        edges.withColumn("_offset", F.sum("_size").over(before))
+        .filter("_offset > 0 AND _from = 0")
+        .select(F.col("_slice").alias("_of"), *[F.col(key).alias(f"_of_{key}") for key in by], "_offset")
     )
-    inside = Window.partitionBy(*by, "_slice").orderBy(*order, "_position")
-    numbered = sliced.withColumn("_inside", F.row_number().over(inside))
-    matched = F.col("_slice") == F.col("_in_slice")
+    same = F.col("_slice") == F.col("_of")
     for key in by:
-        matched = matched & F.col(key).eqNullSafe(F.col(f"_by_{key}"))
-    return numbered.join(F.broadcast(offsets), matched, "left").select(
-        *columns,
-        (F.col("_inside") + F.coalesce("_offset", F.lit(0))).cast("long").alias(name),
+        same = same & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
+    return begun.join(F.broadcast(offsets), same, "left").select(
+        *df.columns,
+        (F.col("_inside") + F.coalesce("_offset", F.lit(0)) + 1).cast("long").alias(name),
     )
 
 
@@ -108,45 +98,3 @@ def first_rows(
     """
     window = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= n)
-
-
-def running_offset(
-    df: DataFrame, key: str, weight: Column, name: str, in_order: bool = False,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """`df` with the sum of `weight` over all rows before each row.
-
-    `key` is unique and not NULL. With `in_order` it is a number and rows count
-    in its order; else the order is arbitrary but stable, by hash bucket.
-
-    Only keys and weights are sliced: at most MOST_SLICES totals meet in one
-    task, whatever the keys look like, and each slice is summed on its own.
-    The offsets then join the rows by key.
-    """
-    weighed = durable(df.select(key, weight.cast("long").alias("_weight")))
-    slices = min(MOST_SLICES, weighed.count() // slice_rows + 1)
-    sliced = _in_slices(weighed, key, slices, in_order)
-    totals = sliced.groupBy("_slice").agg(F.sum("_weight").alias("_total"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy("_slice").orderBy(key).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        sliced.withColumn("_inside", F.coalesce(F.sum("_weight").over(inside), F.lit(0)))
-        .join(starts, "_slice")
-        .select(key, (F.col("_start") + F.col("_inside")).alias(name))
-    )
-    return df.join(offsets, key)
-
-
-def _in_slices(df: DataFrame, key: str, slices: int, in_order: bool) -> DataFrame:
-    """`df` with a slice number: quantile ranges of the key, or hash buckets."""
-    if slices == 1 or not in_order:
-        return df.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(slices)))
-    ranges = QuantileDiscretizer(
-        inputCol=key, outputCol="_slice", numBuckets=slices, relativeError=0.1 / slices
-    )
-    return ranges.fit(df).transform(df)

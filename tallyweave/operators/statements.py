@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import any_of, as_date
-from .numbering import HOT_ROWS, first_rows, number_rows
+from .numbering import SLICE_ROWS, first_rows, number_rows
 
 # Output column -> (statement, tag) of the eleven views.
 STATEMENTS = {
@@ -87,25 +87,23 @@ def _reported(
 def statement_rows(
     sub: DataFrame, pre: DataFrame, num: DataFrame,
     roles: Mapping[str, tuple[str, str]] = STATEMENTS,
-    form: str = "10-K", hot_rows: int = HOT_ROWS,
+    form: str = "10-K", slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """All statement views in one table, numbered by date per filing and tag.
 
     A reader that wants an order sorts the result; a view keeps none.
     """
     rows = _reported(sub, pre, num, roles, form, None)
-    tags = F.col("tag").isin(sorted({tag for _, tag in roles.values()}))
-    keys = num.select("adsh", "tag").unionByName(pre.select("adsh", "tag")).filter(tags)
-    return number_rows(rows, ["adsh", "stmt", "tag"], REPORT_ORDER, "dup", hot_rows, gauge=keys)
+    return number_rows(rows, ["adsh", "stmt", "tag"], REPORT_ORDER, "dup", slice_rows)
 
 
 def statement_view(
     sub: DataFrame, pre: DataFrame, num: DataFrame, role: str,
     roles: Mapping[str, tuple[str, str]] = STATEMENTS,
-    form: str = "10-K", hot_rows: int = HOT_ROWS,
+    form: str = "10-K", slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """One statement view, its value under the name of the role."""
-    rows = statement_rows(sub, pre, num, {role: roles[role]}, form, hot_rows)
+    rows = statement_rows(sub, pre, num, {role: roles[role]}, form, slice_rows)
     return rows.withColumnRenamed("value", role)
 
 

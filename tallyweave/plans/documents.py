@@ -106,7 +106,7 @@ def sentences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sentence_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return dc.sentence_rows(_documents(spark, folder), "doc_id", "text", in_order=True)
+    return dc.sentence_rows(_documents(spark, folder), "doc_id", "text")
 
 
 def word_chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,8 +125,7 @@ def chunk_route(spark: SparkSession, folder: str) -> DataFrame:
 def stable_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Word chunks under their own dense key, with the id of their document."""
     numbered = dc.numbered_pieces(
-        _documents(spark, folder).select("doc_id", "source", "text"),
-        "doc_id", tx.word_chunks("text"), "chunks", 0, in_order=True,
+        _documents(spark, folder), "doc_id", tx.word_chunks("text"), "chunks", 0, ["source"]
     )
     return numbered.select("id", "doc_id", "source", F.md5("chunks").alias("chunks_md5"))
 

@@ -1,8 +1,7 @@
-"""Session settings and the shared folder for durable intermediate data."""
+"""Session settings and the shared folder for intermediate data that is kept."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,30 +27,48 @@ def build_session(app: str = "tallyweave", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+_SCRATCH: list[str] = []
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only in local mode."""
+    """The shared folder: that of `spark.checkpoint.dir`, else one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="tallyweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the shared folder, never used before."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this session, wherever Spark's file systems keep it."""
+    gateway = spark.sparkContext._jvm
+    place = gateway.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what `scratch_path` has given out in this process.
+
+    For the end of a job: DataFrames made before then read nothing any more.
+    """
+    while _SCRATCH:
+        remove_path(spark, _SCRATCH.pop())
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage and go on from there.
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write `df` once as Parquet in the shared folder and go on from there.
 
-    Used where two branches must see the very same rows in the very same
-    partitions, also after an executor was lost.
+    Used where branches must see the very same rows, also after an executor
+    was lost. Unlike a checkpoint the rows keep their columns apart and their
+    size known, so later scans are narrow and joins can be planned.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,35 +18,22 @@ def _skewed(spark):
     return spark.createDataFrame(data, "g string, label string, n int").repartition(6)
 
 
-@pytest.fixture
-def many_slices(spark):
-    """Small partitions stay apart, as large ones would."""
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, "false")
-    yield
-    spark.conf.set(key, "true")
-
-
-def test_hot_groups_are_found(spark):
+@pytest.mark.parametrize("slice_rows", [1_000_000, 200, 37])
+def test_numbers_do_not_depend_on_slices(spark, slice_rows):
     df = _skewed(spark)
-    hot = nb.hot_groups(df, ["g"], hot_rows=100)
-    flagged = df.filter(F.xxhash64("g").isin(hot)).select("g").distinct()
-    assert {r.g for r in flagged.collect()} == {"hot", None}
-    assert nb.hot_groups(df, ["g"]) == []
-
-
-def test_slices_give_the_same_numbers(spark, many_slices):
-    df = _skewed(spark)
-    plain = nb.number_rows(df, ["g"], ["label", "n"], "rn")
-    sliced = nb.number_rows(df, ["g"], ["label", "n"], "rn", hot_rows=100)
-    assert rows(plain) == rows(sliced)
-
-
-def test_hot_group_spans_many_tasks(spark, many_slices):
-    df = _skewed(spark).filter("g = 'hot'")
-    numbered = nb.number_in_slices(df, ["g"], ["label", "n"], "rn")
-    sizes = numbered.groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 1800 / 2
+    got = nb.number_rows(df, ["g"], ["label", "n"], "rn", slice_rows)
+    groups = {}
+    for row in sorted(df.collect(), key=lambda r: (r.label, r.n)):
+        groups.setdefault(row.g, []).append(row)
+    expected = [(*row, rn) for own in groups.values() for rn, row in enumerate(own, 1)]
+    assert rows(got) == sorted(expected, key=lambda r: tuple(map(str, r)))
+
+
+def test_a_hot_group_spans_many_slices(spark):
+    df = _skewed(spark).filter("g = 'hot'").withColumn("n", F.lit(0)).withColumn("label", F.lit("x"))
+    sizes = nb.in_slices(df, ["g", "label", "n"], 200).groupBy("_slice").count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 600
+    numbered = nb.number_rows(df, ["g"], ["label", "n"], "rn", 200)
     assert [r.rn for r in numbered.orderBy("rn").collect()] == list(range(1, 1801))
 
 
@@ -56,23 +43,17 @@ def test_group_limit_before_the_exchange(spark):
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
 
 
-@pytest.mark.parametrize("in_order", [True, False])
-def test_running_offset(spark, in_order):
-    # Keys far apart and unevenly spread.
-    df = spark.range(1000).select(
-        (F.col("id") * F.col("id") * 1_000_003).alias("id"), (F.col("id") % 7 + 1).alias("w"))
-    placed = nb.running_offset(df, "id", F.col("w"), "before", in_order, slice_rows=64)
-    total = 0
-    for row in placed.orderBy("id" if in_order else "before").collect():
-        assert row.before == total
-        total += row.w
+@pytest.mark.parametrize("slice_rows", [1_000_000, 64])
+def test_running_numbers(spark, slice_rows):
+    # Keys far apart and unevenly spread, each of them three times.
+    keys = spark.range(500).select((F.col("id") * F.col("id") * 1_000_003).alias("key"))
+    df = keys.unionByName(keys).unionByName(keys).repartition(5)
+    got = nb.running_numbers(df, ["key"], "id", 100, slice_rows).orderBy("id").collect()
+    assert [row.id for row in got] == list(range(100, 1600))
+    assert [row.key for row in got] == sorted(row.key for row in got)
 
 
-def test_slices_are_even_and_ordered(spark):
-    df = spark.range(10_000).select((F.col("id") * F.col("id")).alias("id"))
-    sliced = nb._in_slices(df, "id", 20, True)
-    sizes = sliced.groupBy("_slice").agg(
-        F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b")
-    ).orderBy("_slice").collect()
-    assert len(sizes) == 20 and max(s.n for s in sizes) < 1_000
-    assert all(s.b < t.a for s, t in zip(sizes, sizes[1:]))
+def test_no_rows(spark):
+    df = spark.createDataFrame([], "g string, n int")
+    assert nb.number_rows(df, ["g"], ["n"], "rn").count() == 0
+    assert nb.running_numbers(df, ["n"], "id").count() == 0

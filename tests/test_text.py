@@ -145,6 +145,8 @@ def test_sentence_numbers_run_over_files(spark):
     for r in got:
         by_file.setdefault(r.title, []).append(r.content)
     assert by_file == {"b.pdf": ["One.", "Two!"], "a.pdf": ["Three?", "Four"]}
+    twice = dc.sentence_rows(files.unionByName(files), "file", "text", slice_rows=3)
+    assert sorted(r.id for r in twice.collect()) == list(range(100, 108))
 
 
 def test_page_and_file_text(spark):
