@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import any_of, as_date, as_double, like_any, ratio
+from ..session import stored
 from .numbering import SLICE_ROWS, first_rows, number_rows
 
 # The concept patterns of the seven balance-sheet views.
@@ -206,12 +207,21 @@ def ratios_inner(
     """Ratio table from equal labels or concepts, inner joins on four keys.
 
     Facts that occur more than once per key and view multiply, as joins do.
+    The few facts that have a role are stored first, so whatever made `facts`
+    runs once and not for each of the five views.
     """
     keys = [*PERIOD, "unit"]
+    tests = {role: F.col(column) == text for role, (column, text) in labels.items()}
+    held = stored(
+        facts.filter(any_of(tests.values())).select(
+            *keys, as_double("value").alias("value"),
+            *[F.coalesce(test, F.lit(False)).alias(f"_{role}") for role, test in tests.items()],
+        ),
+        "ratios",
+    )
 
     def view(role: str) -> DataFrame:
-        column, text = labels[role]
-        return facts.filter(F.col(column) == text).select(*keys, F.col("value").alias(role))
+        return held.filter(f"_{role}").select(*keys, F.col("value").alias(role))
 
     wide = view("total_current_assets")
     for role in ("total_current_liabilities", "net_inventories", "total_assets",

@@ -279,18 +279,24 @@ def fin_stmts_silver(spark: SparkSession, folder: str) -> DataFrame:
     return st.statement_table(*_sets(spark, folder), roles.STATEMENTS, roles.FORM, 2)
 
 
+def _second(role: str) -> str:
+    stmt, tag = roles.STATEMENTS[role]
+    how = "JOIN" if role == "total_liabilities" else "LEFT JOIN"
+    return f"{how} picked {role} ON {role}.adsh = a.adsh AND {role}.tag = '{tag}' AND {role}.stmt = '{stmt}'"
+
+
+_OTHERS = [role for role in roles.STATEMENTS if role != "total_assets"]
+_TAGS = ", ".join(f"'{tag}'" for _, tag in roles.STATEMENTS.values())
 _SILVER = f"""WITH {roles.SETS},
     picked AS (SELECT * FROM reported WHERE dup = 2)
     SELECT a.adsh, a.cik, a.name, a.ein, a.form, a.period, a.fy, a.fp, a.uom,
-           a.value AS total_assets, l.value AS total_liabilities, r.value AS revenues
-    FROM picked a
-    JOIN picked l ON l.adsh = a.adsh AND l.stmt = 'BS' AND l.tag = 'N'
-    LEFT JOIN picked r ON r.adsh = a.adsh AND r.stmt = 'IS' AND r.tag = 'R'
-    WHERE a.stmt = 'BS' AND a.tag = 'A'"""
+           a.value AS total_assets, {", ".join(f"{r}.value AS {r}" for r in _OTHERS)}
+    FROM picked a {" ".join(_second(role) for role in _OTHERS)}
+    WHERE a.stmt = 'BS' AND a.tag = 'A0'"""
 
 
 def order_desc(spark: SparkSession, folder: str) -> DataFrame:
-    return st.statement_lines(*_sets(spark, folder), "IS", "R", roles.FORM)
+    return st.statement_lines(*_sets(spark, folder), "IS", "R0", roles.FORM)
 
 
 def distinct_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -333,16 +339,16 @@ QUERIES = {
     "ratios_left": (ratios_left, _RATIOS_LEFT),
     "ratios_inner": (ratios_inner, _RATIOS_INNER),
     "stmt_view": (stmt_view, f"""WITH {roles.SETS}
-        SELECT * FROM reported WHERE tag IN ('A', 'N', 'R')"""),
+        SELECT * FROM reported WHERE tag IN ({_TAGS})"""),
     "pick_nth": (pick_nth, f"""WITH {roles.SETS}
-        SELECT * FROM reported WHERE tag IN ('A', 'N', 'R') AND dup = 2"""),
+        SELECT * FROM reported WHERE tag IN ({_TAGS}) AND dup = 2"""),
     "fin_stmts_silver": (fin_stmts_silver, _SILVER),
     "order_desc": (order_desc, f"""WITH {roles.SETS}
         SELECT num.adsh, cik, name, ein, form, period, fy, fp, stmt, num.tag,
                num.version, ddate, uom, value
         FROM sub, num, pre
         WHERE sub.adsh = pre.adsh AND sub.adsh = num.adsh AND pre.tag = num.tag
-          AND pre.version = num.version AND stmt = 'IS' AND form = 'F' AND num.tag = 'R'
+          AND pre.version = num.version AND stmt = 'IS' AND form = 'F' AND num.tag = 'R0'
         ORDER BY num.tag DESC, num.adsh, ddate, uom, value"""),
     "distinct_names": (distinct_names, f"SELECT DISTINCT name FROM ({_SILVER}) ORDER BY name"),
 }

@@ -64,22 +64,26 @@ LABELS = {
 
 
 def sub(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with their customer as submissions."""
-    orders = parquet_table(spark, folder, "orders")
-    customers = parquet_table(spark, folder, "customer")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.col("o_orderkey").alias("adsh"), F.col("o_custkey").alias("cik"),
-        F.col("c_name").alias("name"), F.col("c_nationkey").cast("long").alias("ein"),
-        F.col("o_orderstatus").alias("form"), day("o_orderdate").alias("period"),
-        F.year("o_orderdate").cast("long").alias("fy"),
-        F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("fp"),
+    """Suppliers with their nation as submissions."""
+    suppliers = parquet_table(spark, folder, "supplier")
+    nations = parquet_table(spark, folder, "nation")
+    form = F.when(F.col("s_suppkey") % 4 == 3, "O").otherwise("F")
+    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("adsh"), (F.col("s_suppkey") * 10).alias("cik"),
+        F.col("s_name").alias("name"), F.col("n_name").alias("ein"), form.alias("form"),
+        F.lit("2022-12-31").alias("period"), F.lit(2022).cast("long").alias("fy"),
+        F.lit("FY").alias("fp"),
     )
 
 
+def _tag():
+    return F.concat("l_returnflag", (F.col("l_linenumber") % 4).cast("string"))
+
+
 def num(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as reported numbers."""
     return parquet_table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("adsh"), F.col("l_returnflag").alias("tag"),
+        F.col("l_suppkey").alias("adsh"), _tag().alias("tag"),
         F.col("l_linestatus").alias("version"), day("l_shipdate").alias("ddate"),
         text("l_linenumber").alias("uom"), F.col("l_extendedprice").alias("value"),
     )
@@ -88,29 +92,42 @@ def num(spark: SparkSession, folder: str) -> DataFrame:
 def pre(spark: SparkSession, folder: str) -> DataFrame:
     """The distinct number keys as statement lines."""
     keys = parquet_table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("adsh"), F.col("l_returnflag").alias("tag"),
-        F.col("l_linestatus").alias("version"),
-    )
-    return keys.distinct().withColumn(
-        "stmt", F.when(F.col("tag") == "R", F.lit("IS")).otherwise(F.lit("BS"))
+        F.col("l_suppkey").alias("adsh"), _tag().alias("tag"), F.col("l_linestatus").alias("version"),
     )
+    income = F.col("tag").startswith("R") | F.col("tag").isin("N2", "N3")
+    return keys.distinct().withColumn("stmt", F.when(income, "IS").otherwise("BS"))
+
 
+# The eleven statement roles; no role takes the lines tagged N3.
+STATEMENTS = {
+    "total_assets": ("BS", "A0"),
+    "total_liabilities": ("BS", "N0"),
+    "inventories": ("BS", "A1"),
+    "current_assets": ("BS", "A2"),
+    "current_liabilities": ("BS", "N1"),
+    "total_equities": ("BS", "A3"),
+    "cogs": ("IS", "R0"),
+    "gross_profit": ("IS", "R1"),
+    "operating_expenses": ("IS", "R2"),
+    "profit_loss": ("IS", "R3"),
+    "revenues": ("IS", "N2"),
+}
+FORM = "F"
 
-SETS = """sub AS (
-    SELECT o_orderkey AS adsh, o_custkey AS cik, c_name AS name,
-           CAST(c_nationkey AS BIGINT) AS ein, o_orderstatus AS form,
-           strftime(o_orderdate, '%Y-%m-%d') AS period,
-           CAST(year(o_orderdate) AS BIGINT) AS fy, 'Q' || quarter(o_orderdate) AS fp
-    FROM orders JOIN customer ON o_custkey = c_custkey),
+_KEYS = "l_suppkey AS adsh, l_returnflag || l_linenumber % 4 AS tag, l_linestatus AS version"
+
+SETS = f"""sub AS (
+    SELECT s_suppkey AS adsh, s_suppkey * 10 AS cik, s_name AS name, n_name AS ein,
+           CASE WHEN s_suppkey % 4 = 3 THEN 'O' ELSE 'F' END AS form, '2022-12-31' AS period,
+           CAST(2022 AS BIGINT) AS fy, 'FY' AS fp
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 num AS (
-    SELECT l_orderkey AS adsh, l_returnflag AS tag, l_linestatus AS version,
-           strftime(l_shipdate, '%Y-%m-%d') AS ddate,
+    SELECT {_KEYS}, strftime(l_shipdate, '%Y-%m-%d') AS ddate,
            CAST(l_linenumber AS VARCHAR) AS uom, l_extendedprice AS value
     FROM lineitem),
 pre AS (
-    SELECT DISTINCT l_orderkey AS adsh, l_returnflag AS tag, l_linestatus AS version,
-           CASE WHEN l_returnflag = 'R' THEN 'IS' ELSE 'BS' END AS stmt
-    FROM lineitem),
+    SELECT *, CASE WHEN tag LIKE 'R%' OR tag IN ('N2', 'N3') THEN 'IS' ELSE 'BS' END AS stmt
+    FROM (SELECT DISTINCT {_KEYS} FROM lineitem)),
 reported AS (
     SELECT num.adsh, cik, name, ein, form, period, fy, fp, stmt, num.tag, ddate, uom, value,
            CAST(row_number() OVER (PARTITION BY num.adsh, stmt, num.tag
@@ -119,13 +136,6 @@ reported AS (
     WHERE sub.adsh = pre.adsh AND sub.adsh = num.adsh
       AND pre.tag = num.tag AND pre.version = num.version AND form = 'F')"""
 
-STATEMENTS = {
-    "total_assets": ("BS", "A"),
-    "total_liabilities": ("BS", "N"),
-    "revenues": ("IS", "R"),
-}
-FORM = "F"
-
 BLOCK_EVENTS = 512
 
 

@@ -100,18 +100,13 @@ def source_company_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_statement_set(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbers as tab-separated text, one folder per status, types inferred."""
+    """Numbers as tab-separated text, one folder per status, read under a schema."""
     root = scratch_path(spark, "statements")
     numbers = roles.num(spark, folder)
-    for status in ("F", "O"):
-        part = numbers.filter(F.col("version") == status)
-        part.write.option("sep", "\t").option("header", True).csv(f"{root}/{status}/num.txt")
-    read = files.read_statement_set(spark, root, "num")
-    return read.select(
-        F.col("adsh").cast("long").alias("adsh"), "tag", "version",
-        F.col("ddate").cast("string").alias("ddate"), F.col("uom").cast("long").alias("uom"),
-        F.col("value").cast("double").alias("value"),
-    )
+    numbers.withColumns({"period": F.col("version"), "file": F.lit("num.txt")}).write.partitionBy(
+        "period", "file").option("sep", "\t").option("header", True).csv(root)
+    schema = "adsh LONG, tag STRING, version STRING, ddate STRING, uom LONG, value DOUBLE"
+    return files.read_statement_set(spark, root, "file=num", schema)
 
 
 def source_piped(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,7 +149,8 @@ QUERIES = {
                CAST(NULL AS VARCHAR) AS filed, o_orderstatus AS form, 'FY' AS fp, 'CY' AS frame,
                CAST(year(o_orderdate) AS BIGINT) AS fy, o_totalprice AS val FROM orders"""),
     "source_statement_set": (source_statement_set, """
-        SELECT l_orderkey AS adsh, l_returnflag AS tag, l_linestatus AS version,
+        SELECT l_suppkey AS adsh, l_returnflag || l_linenumber % 4 AS tag,
+               l_linestatus AS version,
                strftime(l_shipdate, '%Y-%m-%d') AS ddate, CAST(l_linenumber AS BIGINT) AS uom,
                l_extendedprice AS value FROM lineitem"""),
     "source_piped": (source_piped, "SELECT page_id, url FROM pages"),

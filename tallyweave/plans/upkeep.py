@@ -79,7 +79,8 @@ def drop_column(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def schema_merge_union(spark: SparkSession, folder: str) -> DataFrame:
+def _people(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Customers, and suppliers with another last column."""
     old = parquet_table(spark, folder, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"),
@@ -88,7 +89,11 @@ def schema_merge_union(spark: SparkSession, folder: str) -> DataFrame:
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
         F.col("s_acctbal").alias("balance"),
     )
-    return up.union_with_new_columns(old, new)
+    return old, new
+
+
+def schema_merge_union(spark: SparkSession, folder: str) -> DataFrame:
+    return up.union_with_new_columns(*_people(spark, folder))
 
 
 def snapshot_copy(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,7 +61,7 @@ def test_odd_vectors(spark):
     hits = rt.top_k(corpus.coalesce(1), queries, 4)
     assert [(r.query_id, r.passage_id) for r in hits.orderBy("rank").collect()] == [(1, 4), (1, 3), (1, 2), (1, 1)]
     wrong = corpus.unionByName(spark.createDataFrame([(77, [1.0] * 3)], corpus.schema))
-    with pytest.raises(Exception, match="passage_id [0-9]+ has a vector of"):
+    with pytest.raises(Exception, match="_id [0-9]+ has a vector of [0-9]+ elements, not 3"):
         rt.top_k(wrong, queries, 2).collect()
 
 

@@ -42,6 +42,46 @@ def test_two_source_rows_for_one_target_row_raise(spark):
     assert up.merge_upsert(_table(spark, TARGET[:1]), twice, KEY).count() == 3
 
 
+@pytest.mark.parametrize("merge", [
+    up.merge_upsert, lambda t, s, k: up.merge_when_changed(t, s, k, "ratio")])
+def test_clashes_raise_whatever_is_read(spark, merge):
+    twice = _table(spark, [("A", "2022", "2", 1.0), ("A", "2022", "2", 2.0)])
+    merged = merge(_table(spark, TARGET), twice, KEY)
+    for read in (merged.count, merged.select("symbol").collect, merged.collect):
+        with pytest.raises(Exception, match="several source rows"):
+            read()
+
+
+def test_feed_of_repeated_keys_raises(spark):
+    twice = _table(spark, [("A", "2022", "2", 1.0), ("A", "2022", "2", 2.0)])
+    for old, new in ((TARGET, twice), (twice, TARGET)):
+        sides = [side if not isinstance(side, list) else _table(spark, side) for side in (old, new)]
+        with pytest.raises(Exception, match="a key is repeated"):
+            up.change_feed(*sides, KEY).count()
+
+
+def test_replaced_table_keeps_its_partitions_and_place(spark):
+    tb.use_namespace(spark, "kept")
+    up.create_table(_table(spark, TARGET), "parted", ["quarter"])
+    folder = up._location(spark, "parted").rpartition("/")[0]
+    for wider in (False, True):
+        new = _table(spark, SOURCE + [("C", "2023", "2", 4.0)])
+        up.replace_table(new.withColumn("rank", F.lit(1)) if wider else new, "parted")
+        assert up._partition_columns(spark, "parted") == ["quarter"]
+        assert up._location(spark, "parted").rpartition("/")[0] == folder
+        first = spark.table("parted").filter("quarter = '2'")
+        assert rows(first.select("symbol")) == [("A",), ("C",)]
+        assert "PartitionFilters: [isnotnull(quarter" in (
+            first._jdf.queryExecution().executedPlan().toString())
+    assert up.drop_superseded(spark, "parted") == 1
+    assert up.drop_superseded(spark, "parted") == 0
+    assert spark.table("parted").count() == 4
+    up.create_view(spark, "seen", "SELECT symbol FROM parted WHERE quarter = '2'")
+    up.create_view(spark, "seen", "SELECT symbol FROM parted WHERE quarter = '1'")
+    assert rows(spark.table("seen")) == [("B",), (None,)]
+    tb.use_namespace(spark, "default")
+
+
 def test_insert_only(spark):
     merged = up.merge_insert_only(_table(spark, TARGET), _table(spark, SOURCE), KEY)
     assert (("A", "2022", "2", 2.0) in rows(merged)) and merged.count() == 5
