@@ -88,6 +88,14 @@ def view_kept(spark: SparkSession, folder: str) -> DataFrame:
     return tb.scan_table(spark, f"{name}_view")
 
 
+def cache_reuse(spark: SparkSession, folder: str) -> DataFrame:
+    """Two counts over one scan that is kept in between."""
+    lines = tb.cached(parquet_table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus"))
+    by = [lines.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+          for name in lines.columns]
+    return by[0].unionByName(by[1])
+
+
 def sql_functions(spark: SparkSession, folder: str) -> DataFrame:
     """Text functions called by name from SQL."""
     tx.register(spark)
@@ -116,6 +124,9 @@ QUERIES = {
     "table_in_namespace": (table_in_namespace, "SELECT * FROM region"),
     "view_kept": (view_kept, f"""WITH {cases._ORDERS}
         SELECT o_orderstatus, count(*) AS n_orders FROM new GROUP BY o_orderstatus"""),
+    "cache_reuse": (cache_reuse, """
+        SELECT l_returnflag AS value, count(*) AS n FROM lineitem GROUP BY ALL
+        UNION ALL SELECT l_linestatus, count(*) FROM lineitem GROUP BY ALL"""),
     "sql_functions": (sql_functions, DOCUMENT_QUERIES["url_file_year"][1]),
     "header_titles": (header_titles, """
         SELECT page_id, md5(list_extract(regexp_split_to_array(

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,32 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run there are found by name, so the executors need the
+    package; it goes to the shared folder as a zip file and from there to them.
+    """
+    context, root = spark.sparkContext, Path(__file__).parent
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as package:
+        for file in sorted(root.rglob("*.py")):
+            package.write(file, file.relative_to(root.parent))
+    gateway = context._jvm
+    place = gateway.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/{uuid.uuid4().hex}/{root.name}.zip")
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    stream = files.create(place)
+    stream.write(bytearray(content.getvalue()))
+    stream.close()
+    context.addPyFile(files.makeQualified(place).toString())
+    _SHIPPED.add(context.applicationId)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of this session, wherever Spark's file systems keep it."""
     gateway = spark.sparkContext._jvm

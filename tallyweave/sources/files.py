@@ -12,6 +12,7 @@ def _strings(*names: str) -> list[T.StructField]:
     return [T.StructField(name, T.StringType(), True) for name in names]
 
 
+# The fields of the files, by name.
 FACT = T.StructType(_strings("label", "concept", "unit", "value"))
 
 _REPORT = T.StructType([T.StructField("bs", T.ArrayType(FACT))])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,6 +15,14 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def cached(df: DataFrame) -> DataFrame:
+    """`df` kept by the executors for several uses; what does not fit goes to disk.
+
+    Lost parts are worked out again, so nothing may depend on a row's position.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def use_namespace(spark: SparkSession, name: str) -> None:
     """Make `name` the current schema, creating it on first use."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")

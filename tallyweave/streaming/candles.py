@@ -40,6 +40,7 @@ def silver(messages: DataFrame) -> DataFrame:
     The arrays of a message are zipped by position and cut to the shortest;
     a message with a missing or malformed array gives no candle.
     """
+    # The column names of the candle table.
     rows = zip_shortest(
         Close_Prices=json_array("c", "double"),
         High_Prices=json_array("h", "double"),
