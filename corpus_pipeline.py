@@ -21,12 +21,14 @@ from tallyweave.llm.mixing import mixed
 from tallyweave.llm.queries import DOMAIN, MIX_SEED, MIX_WEIGHTS, WORDS, vocabulary
 from tallyweave.llm.simhash import simhash_dedup
 from tallyweave.llm.toxicity import fit, without_toxic
+from tallyweave.session import ship_package
 
 MIX_SHARE = (9, 10)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a model of `labels` does not call toxic."""
+    ship_package(spark)
     return without_toxic(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -37,6 +39,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked fingerprints."""
+    ship_package(spark)
     return simhash_dedup(docs)
 
 
@@ -47,6 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the encoded and decoded texts."""
+    ship_package(spark)
     return bpe_digests(docs, vocabulary(WORDS))
 
 

@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import stored
 
-
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` once as Parquet in the shared folder and go on from there.
-
-    Lost executors then cost a re-read, and two branches see the very same rows.
-    """
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["stored", "whole_text"]
 
 
 def whole_text(column: str | Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..sources.tables import parquet_table
 from .bpe import bpe_digests
 from .exact import exact_groups
@@ -28,8 +29,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return parquet_table(spark, folder, name)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return parquet_table(spark, folder, "documents")
+    return table(spark, folder, "documents")
 
 
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,7 +133,7 @@ def op6_exact(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_html(spark: SparkSession, folder: str) -> DataFrame:
-    return page_texts(parquet_table(spark, folder, "pages"))
+    return page_texts(table(spark, folder, "pages"))
 
 
 OP6_EXACT = """
@@ -145,7 +151,7 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
-    records = archived(parquet_table(spark, folder, "pages"))
+    records = archived(table(spark, folder, "pages"))
     is_response = F.col("record_type") == "response"
     return records.select(
         "page_id",
