@@ -8,6 +8,7 @@ encoded on their own and the tokens put together again.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from functools import lru_cache
 from itertools import chain, pairwise
@@ -20,13 +21,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import whole_text
-from .merging import merge_pairs
+from .merging import merge_few, merge_pairs
 
-CACHED_WORDS = 300_000  # encodings that a task remembers; then it starts afresh
+CACHED_WORDS = 300_000  # encodings that a task remembers, and as many older ones
 CACHED_CHARS = 48
+FEW = 48  # symbols up to which merges are found by looking through all pairs
 
 # How the vocabulary's files split texts into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"  # the same, in lower case
 
 
 def byte_signs() -> list[str]:
@@ -43,34 +46,41 @@ class WordCodec(dict):
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
+        self.older: dict[str, tuple[int, ...]] = {}
         self.ids = model["vocab"]
         self.end = model["end_of_word_suffix"]
         merges = [m if isinstance(m, str) else " ".join(m) for m in model["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.signs = byte_signs()
         self.inside = {
-            pair for token in self.ids for pair in pairwise(token.removesuffix(self.end))
+            a + b for token in self.ids for a, b in pairwise(token.removesuffix(self.end))
         }
         self.special = {token["content"]: token["id"] for token in content["added_tokens"]}
         self.marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.words = regex.compile(WORDS).findall
+        self.ascii_words = re.compile(ASCII_WORDS).findall
         self.tokens = dict.fromkeys(range(max([*self.ids.values(), *self.special.values()]) + 1), "")
         self.tokens |= {number: token for token, number in {**self.ids, **self.special}.items()}
 
     def fragments(self, word: str) -> list[str]:
         """The signs of the word's bytes, cut at pairs that are inside no token."""
-        signs = "".join(self.signs[byte] for byte in word.encode("utf-8", "surrogatepass"))
-        cuts = [at for at, pair in enumerate(pairwise(signs), 1) if pair not in self.inside]
-        return [signs[a:b] for a, b in pairwise([0, *cuts, len(signs)])]
+        signs = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.signs)
+        inside = self.inside
+        cuts = [at for at in range(1, len(signs)) if signs[at - 1:at + 1] not in inside]
+        return [signs[a:b] for a, b in pairwise([0, *cuts, len(signs)])] if cuts else [signs]
 
     def __missing__(self, word: str) -> tuple[int, ...]:
+        if (known := self.older.get(word)) is not None:
+            self[word] = known
+            return known
         found, ranks, ids = [], self.ranks, self.ids
         fragments = self.fragments(word)
         for at, fragment in enumerate(fragments, 1):
             symbols = [*fragment]
             if at == len(fragments):
                 symbols[-1] += self.end
-            found += [ids[s] for s in merge_pairs(symbols, ranks, " ") if s in ids]
+            merge = merge_few if len(symbols) <= FEW else merge_pairs
+            found += [ids[s] for s in merge(symbols, ranks, " ") if s in ids]
         found = tuple(found)
         if len(word) <= CACHED_CHARS:
             self[word] = found
@@ -86,10 +96,14 @@ class WordCodec(dict):
         return out + self._plain(text[at:]) if out else self._plain(text[at:])
 
     def _plain(self, text: str) -> list[int]:
-        if len(self) > CACHED_WORDS:
+        if len(self) > CACHED_WORDS:  # what has not been used since goes at the next time
+            self.older = dict(self)
             self.clear()
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return list(chain.from_iterable(map(self.__getitem__, self.words(text))))
+        if text.isascii():
+            words = self.ascii_words(text.lower())
+        else:
+            words = self.words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        return list(chain.from_iterable(map(self.__getitem__, words)))
 
     def decode(self, ids) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))

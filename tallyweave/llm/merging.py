@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 
 def merge_pairs(symbols: list[str], ranks: dict[str, float], between: str = "") -> list[str]:
@@ -47,3 +48,19 @@ def merge_pairs(symbols: list[str], ranks: dict[str, float], between: str = "")
             if found is not None:
                 heappush(heap, (found, leader, left, joined))
     return [symbol for symbol in symbols if symbol]
+
+
+def merge_few(symbols: list[str], ranks: dict[str, float], between: str = "") -> list[str]:
+    """`merge_pairs` for a handful of symbols: looks through all ranks for each merge."""
+    get, never = ranks.get, float("inf")
+    symbols = [*symbols]
+    pairs = [get(a + between + b, never) for a, b in pairwise(symbols)]
+    while pairs and (best := min(pairs)) != never:
+        at = pairs.index(best)
+        symbols[at] += symbols.pop(at + 1)
+        del pairs[at]
+        if at:
+            pairs[at - 1] = get(symbols[at - 1] + between + symbols[at], never)
+        if at < len(pairs):
+            pairs[at] = get(symbols[at] + between + symbols[at + 1], never)
+    return symbols

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from conftest import rows
 from tallyweave.llm.bpe import WordCodec, bpe_digests, bpe_round_trip
-from tallyweave.llm.merging import merge_pairs
+from tallyweave.llm.merging import merge_few, merge_pairs
 from tallyweave.llm.token_counts import PieceCounter, token_counts
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -47,6 +47,7 @@ def test_merging():
     for _ in range(500):
         symbols = pick.choices("abcd", k=pick.randint(0, 20))
         assert merge_pairs(symbols, ranks) == plain_merges(symbols, ranks)
+        assert merge_few(symbols, ranks) == plain_merges(symbols, ranks)
 
 
 @pytest.mark.parametrize("kind", ["given", "noise"])
