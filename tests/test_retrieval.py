@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyweave.operators import retrieval as rt
 from tallyweave.operators.scoring import SCORE_DIGITS
 from tallyweave.operators.upkeep import current, replace_table
+from tallyweave.plans.retrieval import _found
 from tallyweave.streaming import index as ix
 
 TEXTS = ["Taxes are due in April.", "Wages and taxes, wages!", "A song about rain", "", "rain rain"]
@@ -120,3 +121,13 @@ def test_index_follows_a_stream(spark, tmp_path):
         ix.compact(spark, "followed", spark.read.parquet(log), "id", "text", "version")
         assert current(spark, "followed").count() == 2
     assert arrive([(2, None, 2), (3, "song", 1), (1, "late", 1)]) == [(1, "new"), (3, "song")]
+
+
+def test_every_document_can_be_found(spark):
+    folder = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    asked = documents.select(F.col("doc_id").alias("query_id"), F.col("text").alias("question"))
+    first = _found(spark, folder, asked, "question").filter("rank = 1").join(asked, "query_id").collect()
+    assert len(first) == documents.count()
+    # its own vector is nearest to each, unless no word of it is rare enough to weigh
+    assert sum(abs(row.score - 1) < 1e-6 for row in first) >= 0.99 * len(first)

@@ -12,8 +12,8 @@ def local(path):
 
 
 def test_scratch_lies_in_the_warehouse_and_goes(spark):
-    root = session.shared_root(spark)
-    assert root.startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/"))
+    warehouse = local(spark.conf.get("spark.sql.warehouse.dir"))
+    assert local(session.shared_root(spark)).is_relative_to(warehouse)
     before = list(session._SCRATCH)
     session._SCRATCH.clear()
     kept = session.stored(spark.range(5).withColumn("x", F.lit(None).cast("string")), "test")
