@@ -1,6 +1,7 @@
 """The shared folder, and the package on executors."""
 
 from pathlib import Path
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -11,9 +12,20 @@ def local(path):
     return Path(path.removeprefix("file:"))
 
 
-def test_scratch_lies_in_the_warehouse_and_goes(spark):
-    warehouse = local(spark.conf.get("spark.sql.warehouse.dir"))
-    assert local(session.shared_root(spark)).is_relative_to(warehouse)
+class Conf(dict):
+    set = dict.__setitem__
+
+
+def test_the_folder_that_is_named_or_else_the_warehouse():
+    warehouse = {"spark.sql.warehouse.dir": "hdfs://x/warehouse/"}
+    named = SimpleNamespace(conf=Conf(warehouse | {"spark.checkpoint.dir": "s3a://shared/"}))
+    assert session.shared_root(named) == "s3a://shared"
+    unnamed = SimpleNamespace(conf=Conf(warehouse))
+    assert session.shared_root(unnamed) == "hdfs://x/warehouse/_scratch"
+    assert unnamed.conf["spark.checkpoint.dir"] == "hdfs://x/warehouse/_scratch"
+
+
+def test_scratch_goes_when_cleared(spark):
     before = list(session._SCRATCH)
     session._SCRATCH.clear()
     kept = session.stored(spark.range(5).withColumn("x", F.lit(None).cast("string")), "test")
