@@ -10,7 +10,7 @@ numpy. Misspelt and inflected forms share n-grams, so they score alike.
 from __future__ import annotations
 
 import re
-import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
@@ -24,10 +24,12 @@ from pyspark.sql import types as T
 from .common import whole_text
 
 NGRAMS = range(3, 6)
-BUCKETS = 1 << 17  # embeddings; n-grams are hashed into them
+BUCKET_BITS = 17
+BUCKETS = 1 << BUCKET_BITS  # embeddings; n-grams are hashed into them
+BASE = np.uint64(0x100000001B3)  # of the polynomial that hashes an n-gram
 WIDTH = 12
 PASSAGE_WORDS = 4
-CACHED_WORDS = 200_000  # word scores that a task remembers; then it starts afresh
+CACHED_WORDS = 500_000  # words that a task remembers; then it starts afresh
 BLOCK_WORDS = 65_536 // PASSAGE_WORDS * PASSAGE_WORDS  # words looked at at a time
 # Training takes at most this many labelled rows of either class, chosen by the
 # hash of their id, and of those the ones up to this length.
@@ -53,12 +55,31 @@ def words_of(text: str) -> Iterator[list[str]]:
         yield block
 
 
-def buckets_of(word: str) -> list[int]:
-    """The word's n-grams with its edges marked, and the word itself."""
-    marked = f"<{word}>"
-    grams = {marked[i:i + n] for n in NGRAMS for i in range(len(marked) - n + 1)}
-    grams.add(marked)
-    return [zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS for gram in sorted(grams)]
+def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of all words, as (number of the word, bucket) in no order.
+
+    Every word is taken with its edges marked; it is an n-gram itself as well.
+    Buckets come from polynomial hashes of the code points.
+    """
+    marked = [f"<{word}>" for word in words]
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = codes.astype(np.uint64)
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    ends = np.cumsum(sizes)
+    word_of = np.repeat(np.arange(len(marked), dtype=np.int32), sizes)
+    left = np.repeat(ends, sizes) - np.arange(len(codes))  # characters to the word's end
+    powers = BASE ** np.arange(sizes.max(initial=0), dtype=np.uint64)
+    whole = np.add.reduceat(codes * powers[left - 1], ends - sizes)
+    numbers, hashes = [np.arange(len(marked), dtype=np.int32)], [whole * np.uint64(2) + np.uint64(1)]
+    rolling = np.zeros(len(codes), np.uint64)
+    for n in range(1, NGRAMS.stop):
+        rolling = rolling[:len(codes) - n + 1] * BASE + codes[n - 1:]
+        if n in NGRAMS:
+            fits = left[:len(rolling)] >= n
+            numbers.append(word_of[:len(rolling)][fits])
+            hashes.append((rolling[fits] * np.uint64(8) + np.uint64(n)) * np.uint64(2))
+    mixed = np.concatenate(hashes) * np.uint64(0x9E3779B97F4A7C15)
+    return np.concatenate(numbers), (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
 
 
 @dataclass
@@ -87,24 +108,31 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
         model.bias[1] = np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)
         return model
     index: dict[str, int] = {}
-    tokens, passages, starts = [], [0], []
+    tokens, passages, starts = array("i"), array("i", [0]), []
     for text in texts:
         starts.append(len(passages) - 1)
-        words = [index.setdefault(word, len(index)) for block in words_of(text) for word in block]
-        words = words or [index.setdefault("", len(index))]
-        for at in range(0, len(words), PASSAGE_WORDS):
-            part = words[at:at + PASSAGE_WORDS]
-            tokens += part
-            passages.append(passages[-1] + len(part))
-    grams = [buckets_of(word) for word in index]
-    sizes = np.array([len(g) for g in grams])
-    gram_of = np.concatenate([np.array(g) for g in grams])
-    word_of = np.repeat(np.arange(len(grams)), sizes)
-    begin_word = np.r_[0, np.cumsum(sizes)[:-1]]
-    tokens, begin = np.array(tokens), np.array(passages[:-1])
+        words = array("i", (
+            index.setdefault(word, len(index)) for block in words_of(text) for word in block
+        )) or array("i", [index.setdefault("", len(index))])
+        tokens += words
+        begin = passages[-1]
+        passages.extend(range(begin + PASSAGE_WORDS, begin + len(words), PASSAGE_WORDS))
+        passages.append(begin + len(words))
+    n_words = len(index)
+    word_of, gram_of = grams_of(list(index))
+    by_word = np.argsort(word_of, kind="stable")
+    word_of, gram_of = word_of[by_word], gram_of[by_word]
+    sizes = np.bincount(word_of, minlength=n_words)
+    word_end = np.cumsum(sizes)
+    begin_word = word_end - sizes
+    del index, by_word
+    tokens, passages = np.asarray(tokens), np.asarray(passages)
+    begin = passages[:-1]
     starts = np.array(starts)
-    passage_of_token = np.repeat(np.arange(len(begin)), np.diff(passages))
-    text_of_passage = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(begin)]))
+    passage_of_token = np.repeat(np.arange(len(begin), dtype=np.int32), np.diff(passages))
+    text_of_passage = np.repeat(
+        np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(begin)])
+    )
     held = np.add.reduceat(sizes[tokens], begin)
     target = np.array(labels, np.float64)
     balance = np.where(target == 1, 0.5 / target.sum(), 0.5 / (1 - target).sum())
@@ -113,7 +141,8 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
     having = np.zeros((2, BUCKETS))
     for text, (a, b) in enumerate(zip(starts, np.r_[starts[1:], len(begin)])):
         own = np.unique(tokens[begin[a]:passages[b]])
-        having[labels[text], np.unique(np.concatenate([grams[word] for word in own]))] += 1
+        of_words = np.concatenate([gram_of[begin_word[word]:word_end[word]] for word in own])
+        having[labels[text], np.unique(of_words)] += 1
     common = target.mean()
     odds = np.log(
         (having[1] + PRIOR_TEXTS * common) / (having[0] + PRIOR_TEXTS * (1 - common))
@@ -135,7 +164,7 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
         weight /= np.add.reduceat(weight, starts)[text_of_passage]
         error = (1 / (1 + np.exp(-np.clip(worst, -30, 30))) - target) * balance
         by_passage = error[text_of_passage] * weight
-        by_word = np.bincount(tokens, (by_passage / held)[passage_of_token], len(grams))
+        by_word = np.bincount(tokens, (by_passage / held)[passage_of_token], n_words)
         by_gram = np.bincount(gram_of, by_word[word_of], BUCKETS)
         toward = by_gram @ embeddings
         grads = [
@@ -149,37 +178,45 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
     return Model(*(p.astype(np.float32) for p in (embeddings, softmax, bias)), share=share)
 
 
+class _Words(dict):
+    """Numbers of words; `sums` and `sizes` have their n-grams by number."""
+
+    def __init__(self, margins: np.ndarray):
+        self.margins = margins
+        self.sums = np.zeros(CACHED_WORDS + BLOCK_WORDS)
+        self.sizes = np.zeros(CACHED_WORDS + BLOCK_WORDS)
+
+    def numbers(self, block: list[str]) -> list[int]:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        new = [word for word in set(block) if word not in self]
+        if new:
+            begin, count = len(self), len(new)
+            word_of, gram_of = grams_of(new)
+            self.sums[begin:begin + count] = np.bincount(word_of, self.margins[gram_of], count)
+            self.sizes[begin:begin + count] = np.bincount(word_of, minlength=count)
+            self.update(zip(new, range(begin, begin + count)))
+        return list(map(self.__getitem__, block))
+
+
 class Scorer:
-    """Scores whole texts; remembers the scores of words."""
+    """Scores whole texts; remembers words."""
 
     def __init__(self, margins: np.ndarray, bias: float, share: float):
-        self.margins, self.bias, self.share = margins, bias, share
-        self.words: dict[str, int] = {}
-        self.sums, self.sizes = [], []
-
-    def _at(self, word: str) -> int:
-        buckets = buckets_of(word)
-        self.sums.append(float(self.margins[buckets].sum()))
-        self.sizes.append(len(buckets))
-        at = self.words[word] = len(self.sums) - 1
-        return at
+        self.words, self.bias, self.share = _Words(margins), bias, share
 
     def scores(self, texts) -> np.ndarray:
         """The score of each text: 0 to 1, the share of class 1 if it has no word."""
-        out = []
+        out, words = [], self.words
         for text in texts:
             worst = -np.inf
             for block in words_of(text or ""):
-                if not block:
-                    continue
-                if len(self.words) > CACHED_WORDS:
-                    self.words, self.sums, self.sizes = {}, [], []
-                get, add = self.words.get, self._at
-                at = [found if (found := get(word)) is not None else add(word) for word in block]
-                starts = np.arange(0, len(at), PASSAGE_WORDS)
-                sums = np.add.reduceat(np.fromiter(map(self.sums.__getitem__, at), float, len(at)), starts)
-                sizes = np.add.reduceat(np.fromiter(map(self.sizes.__getitem__, at), float, len(at)), starts)
-                worst = max(worst, float((sums / sizes).max()))
+                for at in range(0, len(block), BLOCK_WORDS):
+                    numbers = words.numbers(block[at:at + BLOCK_WORDS])
+                    starts = np.arange(0, len(numbers), PASSAGE_WORDS)
+                    sums = np.add.reduceat(words.sums[numbers], starts)
+                    sizes = np.add.reduceat(words.sizes[numbers], starts)
+                    worst = max(worst, float((sums / sizes).max()))
             out.append(
                 self.share if worst == -np.inf
                 else 1 / (1 + np.exp(-np.clip(worst + self.bias, -30, 30)))
