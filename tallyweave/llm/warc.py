@@ -1,8 +1,8 @@
 """Web archives: an index first, then the records it names by coalesced reads.
 
-Archives are plain WARC files. As every record's length is known before it is
-written, the index (archive, offset, length, address, digest) is worked out
-from the narrow columns alone; readers then fetch byte ranges, never a whole
+Archives are plain WARC files, one per task that writes. An index of them has
+the file, offset, length, address and digest of every record; it is made by
+going from header to header. Readers then fetch byte ranges, never a whole
 archive for a few records.
 """
 
@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .common import stored, whole_text
 
 LEAST_REVISIT = 1_000  # bytes from which equal payloads are stored once
-ARCHIVE_BYTES = 64 << 20  # about this much goes into one archive
+SCAN_BYTES = 4 << 20  # read at a time while an index is made
 READ_BYTES = 8 << 20  # ranges are joined up to this size
 READ_GAP = 64 << 10  # and over gaps up to this one
 DATE = "2000-01-01T00:00:00Z"
@@ -30,8 +30,8 @@ def _urn(page_id: Column) -> Column:
     return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
 
 
-def _described(pages: DataFrame, repeated: DataFrame, archives: int) -> DataFrame:
-    """`pages` (page_id, url, digest, bytes) with type, headers and archive of each record."""
+def _described(pages: DataFrame, repeated: DataFrame) -> DataFrame:
+    """`pages` (page_id, url, digest, bytes) with type and headers of each record."""
     typed = pages.join(repeated, ["digest", "bytes"], "left")
     revisits = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     address = F.regexp_replace("url", "[\r\n]+", "%0A")
@@ -59,66 +59,105 @@ def _described(pages: DataFrame, repeated: DataFrame, archives: int) -> DataFram
     return (
         typed.withColumn("record_type", F.when(revisits, "revisit").otherwise("response"))
         .withColumn("head", F.when(is_revisit, revisit).otherwise(response))
-        .withColumn("length", (
-            F.octet_length("head") + F.when(is_revisit, 0).otherwise(F.col("bytes")) + len(END)
-        ).cast("long"))
-        .withColumn("archive", F.pmod(F.xxhash64("page_id", "digest"), F.lit(archives)).cast("int"))
     )
 
 
-ORDER = ["page_id", "digest", "url"]
-
-
-def write_archives(
-    pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT,
-    archive_bytes: int = ARCHIVE_BYTES,
-) -> DataFrame:
+def write_archives(pages: DataFrame, path: str, least_revisit: int = LEAST_REVISIT) -> DataFrame:
     """Write `pages` (page_id, url, html) as WARC archives below `path`; gives their index.
 
-    The index has a row per page: page_id, url, digest (hex SHA-1 of the
-    payload), bytes, record_type, archive, offset and length. It is stored
-    under `path`/index, the archives under `path`/archives/archive=N.
-
     Of equal payloads of at least `least_revisit` bytes the one with the
     largest page_id is a response, the others revisit it. Rows that repeat
     that very page_id are responses too. NULL html is an empty payload, a NULL
     url gives no address, NULL page_ids are never the largest; where a group
     has no other, all are responses. No rows give an empty index.
 
-    Records lie in an archive in the order of page_id, digest and url; rows
-    equal in these have equal records. Only payloads are shuffled, once, and
-    the text sink ends every record as the format asks.
+    Payloads are written where they are read; only digests are exchanged, and
+    the payloads too where the repeated digests are too many to broadcast. The
+    text sink ends every record as the format asks.
     """
     payload = whole_text("html")
     facts = [
         F.col("page_id"), F.col("url").cast("string").alias("url"),
         F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"),
     ]
-    narrow = stored(pages.select(*facts), "warc-pages")
     repeated = stored(
-        narrow.filter(F.col("bytes") >= least_revisit).groupBy("digest", "bytes")
+        pages.select(*facts).filter(F.col("bytes") >= least_revisit).groupBy("digest", "bytes")
         .agg(F.max("page_id").alias("response_id"), F.count("*").alias("copies"))
         .filter("copies > 1").drop("copies"),
         "warc-repeated",
     )
-    total = narrow.agg(F.sum("bytes")).first()[0] or 0
-    archives = total // archive_bytes + 1
-    before = Window.partitionBy("archive").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
-    index_path = f"{path}/index"
-    _described(narrow, repeated, archives).withColumn(
-        "offset", F.coalesce(F.sum("length").over(before), F.lit(0))
-    ).select(
-        "page_id", "url", "digest", "bytes", "record_type", "archive", "offset", "length"
-    ).write.parquet(index_path)
     record = F.concat("head", F.when(F.col("record_type") == "revisit", "").otherwise(F.col("payload")))
     (
-        _described(pages.select(*facts, payload.alias("payload")), repeated, archives)
-        .select("archive", *ORDER, record.alias("value"))
-        .repartition("archive").sortWithinPartitions("archive", *ORDER)
-        .select("archive", "value")
-        .write.partitionBy("archive").option("lineSep", END).text(f"{path}/archives")
+        _described(pages.select(*facts, payload.alias("payload")), repeated)
+        .select(record.alias("value"))
+        .write.option("lineSep", END).text(f"{path}/archives")
+    )
+    return index_archives(pages.sparkSession, path)
+
+
+INDEX = (
+    "path string, offset long, length long, page_id long, url string, digest string, "
+    "record_type string"
+)
+_INDEX = pa.schema([
+    ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("page_id", pa.int64()),
+    ("url", pa.string()), ("digest", pa.string()), ("record_type", pa.string()),
+])
+
+
+def index_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The index of the archives below `path`, stored under `path`/index."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/archives")
+        .select("path", "length").filter("length > 0")
     )
-    return pages.sparkSession.read.parquet(index_path)
+    # a task takes whole files, each of which one task has written
+    indexed = files.repartition("path").select("path", "length").mapInArrow(_indexed, INDEX)
+    indexed.write.parquet(f"{path}/index")
+    return spark.read.schema(INDEX).parquet(f"{path}/index")
+
+
+def _open(path: str):
+    from pyarrow import fs
+
+    # Spark writes a local path as file:/x, the reader wants file:///x
+    uri = "file:///" + path[6:].lstrip("/") if path.startswith("file:/") else path
+    system, name = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(name)
+
+
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows = []
+            with _open(path) as stream:
+                for offset, length, fields in headers(stream, size):
+                    rows.append({"path": path, "offset": offset, "length": length, **_named(fields)})
+                    if len(rows) == 10_000:
+                        yield pa.RecordBatch.from_pylist(rows, schema=_INDEX)
+                        rows = []
+            yield pa.RecordBatch.from_pylist(rows, schema=_INDEX)
+
+
+def headers(stream, size: int) -> Iterator[tuple[int, int, dict[str, str]]]:
+    """Offset, length and header fields of the records of an archive, one after the other.
+
+    Blocks are passed over by their length; what is read at a time is bounded
+    by SCAN_BYTES or the longest header.
+    """
+    at, begin, data = 0, 0, b""
+    while at < size:
+        end = data.find(b"\r\n\r\n", at - begin) if begin <= at < begin + len(data) else -1
+        if end < 0:
+            wanted = SCAN_BYTES if begin != at else 2 * max(len(data), SCAN_BYTES // 2)
+            if begin == at and begin + len(data) >= size:
+                raise ValueError(f"no record begins at byte {at}")
+            begin, data = at, stream.read_at(min(wanted, size - at), at)
+            continue
+        fields, block = _headers(data[at - begin:end + 4])
+        length = block + int(fields["Content-Length"]) + len(END)
+        yield at, length, fields
+        at += length
 
 
 def _headers(record: bytes) -> tuple[dict[str, str], int]:
@@ -144,16 +183,21 @@ def _number(urn: str | None) -> int | None:
     return None if text == "none" else int(text)
 
 
+def _named(fields: dict[str, str]) -> dict:
+    return {
+        "page_id": _number(fields["WARC-Record-ID"]), "record_type": fields["WARC-Type"],
+        "url": fields.get("WARC-Target-URI"),
+        "digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
+    }
+
+
 def _parsed(record: bytes) -> dict:
     fields, begin = _headers(record)
     payload = None
     if fields["WARC-Type"] == "response":
         block = record[begin:begin + int(fields["Content-Length"])]
         payload = block[block.index(b"\r\n\r\n") + 4:]
-    return {
-        "page_id": _number(fields["WARC-Record-ID"]), "record_type": fields["WARC-Type"],
-        "url": fields.get("WARC-Target-URI"),
-        "digest": fields["WARC-Payload-Digest"].removeprefix("sha1:"),
+    return _named(fields) | {
         "bytes": int(fields["X-Payload-Length"]),
         "refers_to": _number(fields.get("WARC-Refers-To")), "payload": payload,
     }
@@ -175,8 +219,6 @@ def coalesced(ranges: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, int
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs
-
     def ranges():
         for batch in batches:
             yield from zip(*(batch.column(i).to_pylist() for i in range(3)))
@@ -184,32 +226,24 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     opened, stream = None, None
     for path, offset, length, inside in coalesced(ranges()):
         if path != opened:
-            # Spark writes a local path as file:/x, the reader wants file:///x
-            uri = "file:///" + path[6:].lstrip("/") if path.startswith("file:/") else path
-            system, name = fs.FileSystem.from_uri(uri)
-            opened, stream = path, system.open_input_file(name)
+            opened, stream = path, _open(path)
         data = stream.read_at(length, offset)
         rows = [_parsed(data[at:at + size]) for at, size in inside]
         yield pa.RecordBatch.from_pylist(rows, schema=_READ)
 
 
-def read_records(index: DataFrame, path: str) -> DataFrame:
-    """The records that the rows of `index` name, read from the archives below `path`.
+def read_records(index: DataFrame) -> DataFrame:
+    """The records that the rows of `index` (path, offset, length) name.
 
     Columns: page_id, record_type, url, digest, bytes (of the full payload),
     refers_to (of a revisit), payload (NULL for a revisit). Ranges are sorted
-    by archive and offset and near ones read together; a task takes a stretch
-    of an archive, so large archives spread over tasks.
+    by file and offset and near ones read together; a task takes a stretch of
+    an archive, so large archives spread over tasks.
     """
-    spark = index.sparkSession
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/archives")
-        .select("path", F.regexp_extract("path", r"archive=(\d+)/", 1).cast("int").alias("archive"))
-    )
     return (
-        index.select("archive", "offset", "length").join(files, "archive")
+        index.select("path", "offset", "length")
         .withColumn("stretch", F.expr(f"offset div {8 * READ_BYTES}"))
-        .repartition("archive", "stretch").sortWithinPartitions("path", "offset")
+        .repartition("path", "stretch").sortWithinPartitions("path", "offset")
         .select("path", "offset", "length")
         .mapInArrow(_read, READ)
     )
@@ -217,8 +251,4 @@ def read_records(index: DataFrame, path: str) -> DataFrame:
 
 def archived(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write `pages` to archives (by default in the shared folder) and read all of it back."""
-    path = path or scratch_path(pages.sparkSession, "warc")
-    index = write_archives(pages, path)
-    if index.isEmpty():
-        return pages.sparkSession.createDataFrame([], READ)
-    return read_records(index, path)
+    return read_records(write_archives(pages, path or scratch_path(pages.sparkSession, "warc")))

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from tallyweave.llm import warc
 from tallyweave.llm.warc import READ_GAP, archived, coalesced, read_records, write_archives
 
 SCHEMA = "page_id long, url string, html string, digest string, archive string"
@@ -39,23 +40,21 @@ def got(df):
                        None if r.payload is None else bytes(r.payload), r.url)) for r in df.collect())
 
 
-@pytest.mark.parametrize("size", [64 << 20, 50_000])
-def test_round_trip(spark, tmp_path, size):
-    path = str(tmp_path / "warc")
-    index = write_archives(spark.createDataFrame(sample(), SCHEMA), path, archive_bytes=size)
-    assert got(read_records(index, path)) == expected(sample())
+def test_round_trip(spark, tmp_path):
+    index = write_archives(spark.createDataFrame(sample(), SCHEMA).repartition(3), str(tmp_path / "warc"))
+    assert got(read_records(index)) == expected(sample())
     some = index.filter("page_id % 7 = 0")
-    left = {str(r.page_id) for r in read_records(some, path).collect()}
+    left = {str(r.page_id) for r in read_records(some).collect()}
     assert left == {str(row[0]) for row in sample() if row[0] is not None and row[0] % 7 == 0}
 
 
 def test_files_follow_the_format(spark, tmp_path):
-    path = str(tmp_path / "warc")
-    index = write_archives(spark.createDataFrame(sample(), SCHEMA), path).collect()
-    (file,) = Path(path).glob("archives/archive=*/part-*.txt")
+    index = write_archives(spark.createDataFrame(sample(), SCHEMA).coalesce(1), str(tmp_path / "warc"))
+    (file,) = Path(tmp_path).glob("warc/archives/part-*.txt")
     data = file.read_bytes()
-    assert sum(row.length for row in index) == len(data)
-    for row in index:
+    rows = index.collect()
+    assert sum(row.length for row in rows) == len(data) and len(rows) == len(sample())
+    for row in rows:
         record = data[row.offset:row.offset + row.length]
         head, _, rest = record.partition(b"\r\n\r\n")
         fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
@@ -63,6 +62,16 @@ def test_files_follow_the_format(spark, tmp_path):
         assert len(rest) == int(fields["Content-Length"]) + 4
 
 
+@pytest.mark.parametrize("size", [40, 1_000, 4 << 20])
+def test_headers(spark, tmp_path, monkeypatch, size):
+    index = write_archives(spark.createDataFrame(sample(), SCHEMA).coalesce(1), str(tmp_path / "warc"))
+    (file,) = Path(tmp_path).glob("warc/archives/part-*.txt")
+    monkeypatch.setattr(warc, "SCAN_BYTES", size)
+    with warc._open(str(file)) as stream:
+        found = [(at, length) for at, length, _ in warc.headers(stream, file.stat().st_size)]
+    assert found == sorted((row.offset, row.length) for row in index.collect())
+
+
 def test_rows(spark):
     assert archived(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = [(1, "u", "z" * 2000, "d", "a")] * 2
