@@ -20,6 +20,7 @@ from .common import stored, whole_text
 LEAST_REVISIT = 1_000  # bytes from which equal payloads are stored once
 SCAN_BYTES = 4 << 20  # read at a time while an index is made
 READ_BYTES = 8 << 20  # ranges are joined up to this size
+TASK_BYTES = 4 * READ_BYTES  # and a task reads about this much
 READ_GAP = 64 << 10  # and over gaps up to this one
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -112,7 +113,8 @@ def index_archives(spark: SparkSession, path: str) -> DataFrame:
         .select("path", "length").filter("length > 0")
     )
     # a task takes whole files, each of which one task has written
-    indexed = files.repartition("path").select("path", "length").mapInArrow(_indexed, INDEX)
+    spread = files.repartition(max(1, files.count()), "path")
+    indexed = spread.mapInArrow(_indexed, INDEX)
     indexed.write.parquet(f"{path}/index")
     return spark.read.schema(INDEX).parquet(f"{path}/index")
 
@@ -237,13 +239,14 @@ def read_records(index: DataFrame) -> DataFrame:
 
     Columns: page_id, record_type, url, digest, bytes (of the full payload),
     refers_to (of a revisit), payload (NULL for a revisit). Ranges are sorted
-    by file and offset and near ones read together; a task takes a stretch of
-    an archive, so large archives spread over tasks.
+    by file and offset and near ones read together. There is a task for every
+    few reads, told by the bytes to read and not by the size of the index.
     """
+    tasks = (index.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES + 1
     return (
         index.select("path", "offset", "length")
-        .withColumn("stretch", F.expr(f"offset div {8 * READ_BYTES}"))
-        .repartition("path", "stretch").sortWithinPartitions("path", "offset")
+        .withColumn("stretch", F.expr(f"offset div {TASK_BYTES}"))
+        .repartition(tasks, "path", "stretch").sortWithinPartitions("path", "offset")
         .select("path", "offset", "length")
         .mapInArrow(_read, READ)
     )
