@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from .common import whole_text
 from .merging import merge_few, merge_pairs
 
-CACHED_WORDS = 300_000  # encodings that a task remembers, and as many older ones
+CACHED_WORDS = 200_000  # encodings that a task remembers, and as many older ones
 CACHED_CHARS = 48
 FEW = 48  # symbols up to which merges are found by looking through all pairs
 
@@ -59,8 +59,10 @@ class WordCodec(dict):
         self.marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.words = regex.compile(WORDS).findall
         self.ascii_words = re.compile(ASCII_WORDS).findall
-        self.tokens = dict.fromkeys(range(max([*self.ids.values(), *self.special.values()]) + 1), "")
-        self.tokens |= {number: token for token, number in {**self.ids, **self.special}.items()}
+        numbers = self.ids | self.special
+        self.tokens = [""] * (max(numbers.values()) + 1)
+        for token, number in numbers.items():
+            self.tokens[number] = token
 
     def fragments(self, word: str) -> list[str]:
         """The signs of the word's bytes, cut at pairs that are inside no token."""
@@ -137,7 +139,8 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf(T.StringType())
     def decode(lists: pa.Array) -> pa.Array:
         codec = word_codec(path)
-        return pa.array([codec.decode(row.values.to_pylist()) for row in lists], pa.string())
+        every, ends = lists.values.to_numpy(), lists.offsets.to_pylist()
+        return pa.array([codec.decode(every[a:b].tolist()) for a, b in pairwise(ends)], pa.string())
 
     return decode(ids)
 
