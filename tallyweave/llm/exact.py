@@ -34,10 +34,10 @@ def exact_groups(
     Columns: doc_id, keep_id (smallest doc_id of the group), group_size, kept,
     text_sha256, copies (rows of the group with this very doc_id), content.
 
-    Two texts with one hash are told apart by their bytes: texts are grouped by
-    hash *and* text, which merges copies before the exchange, so a group of any
-    size sends one row per task. Only where a hash turns out to have two texts
-    are its rows split by their SHA-256 as well. All else is narrow.
+    Texts are grouped by hash *and* bytes, so two texts with one hash make two
+    groups. Copies merge before the exchange: a group of any size sends one row
+    per task. Rows then find their group by the hash and the SHA-256 of the
+    text; everything but the grouping of texts is narrow.
 
     A NULL text is an empty one. A NULL doc_id counts as larger than any other.
     Of rows with the same doc_id in a group one is kept, the first as read.
@@ -53,27 +53,25 @@ def exact_groups(
         ),
         "exact-rows",
     )
-    collided = (
-        docs.select(hashed(text).alias("content"), text.alias("text"))
-        .groupBy("content", "text").agg(F.lit(1).alias("one"))
-        .groupBy("content").agg(F.count("*").alias("texts"))
-        .filter("texts > 1")
-        .select("content", F.lit(True).alias("split"))
+    address = ["content", "text_sha256"]
+    groups = (
+        docs.select("doc_id", hashed(text).alias("content"), text.alias("text"))
+        .groupBy("content", "text")
+        .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+        .select("content", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
     )
-    rows = rows.join(collided, "content", "left").withColumn(
-        "part", F.when(F.col("split"), F.col("text_sha256")).otherwise("")
-    )
-    by_id = rows.groupBy("content", "part", "doc_id").agg(
-        F.min("row").alias("first_row"), F.count("*").alias("copies")
-    )
-    groups = by_id.groupBy("content", "part").agg(
-        F.min("doc_id").alias("keep_id"),
-        F.sum("copies").alias("group_size"),
-        F.coalesce(F.min_by("first_row", "doc_id"), F.min("first_row")).alias("keep_row"),
-        F.coalesce(F.min_by("copies", "doc_id"), F.max("copies")).alias("keep_copies"),
+    first = (
+        rows.groupBy(*address, "doc_id")
+        .agg(F.min("row").alias("first_row"), F.count("*").alias("copies"))
+        .groupBy(*address).agg(
+            F.coalesce(F.min_by("first_row", "doc_id"), F.min("first_row")).alias("keep_row"),
+            F.coalesce(F.min_by("copies", "doc_id"), F.max("copies")).alias("keep_copies"),
+        )
     )
+    # stored, so that the last join alone meets the rows and can split a group's
+    groups = stored(groups.join(first, address), "exact-groups")
     kept = F.col("row") == F.col("keep_row")
-    return rows.join(groups, ["content", "part"]).select(
+    return rows.join(groups, address).select(
         "doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256",
         F.when(kept, F.col("keep_copies")).alias("copies"), "content",
     )
