@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 from itertools import chain, pairwise
 
@@ -23,12 +24,16 @@ from pyspark.sql import types as T
 from .common import whole_text
 from .merging import merge_few, merge_pairs
 
-CACHED_WORDS = 200_000  # encodings that a task remembers, and as many older ones
+CACHED_WORDS = 300_000  # encodings that a task remembers, and as many older ones
 CACHED_CHARS = 48
 FEW = 48  # symbols up to which merges are found by looking through all pairs
 
 # How the vocabulary's files split texts into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+LATIN_WORDS = (  # the same for lower-case text below U+0250
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zª\xb5º\xdf-\xf6\xf8-\u024f]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^\t-\r \x85\xa0a-zª\xb5º\xdf-\xf6\xf8-\u024f0-9\xb2\xb3\xb9\xbc-\xbe]+"
+)
 ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+"  # the same, in lower case
 
 
@@ -59,6 +64,8 @@ class WordCodec(dict):
         self.marks = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.words = regex.compile(WORDS).findall
         self.ascii_words = re.compile(ASCII_WORDS).findall
+        self.latin_words = re.compile(LATIN_WORDS).findall
+        self.beyond_latin = re.compile(r"[^\x00-\u024f]").search
         numbers = self.ids | self.special
         self.tokens = [""] * (max(numbers.values()) + 1)
         for token, number in numbers.items():
@@ -104,7 +111,8 @@ class WordCodec(dict):
         if text.isascii():
             words = self.ascii_words(text.lower())
         else:
-            words = self.words(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+            words = (self.words if self.beyond_latin(text) else self.latin_words)(text)
         return list(chain.from_iterable(map(self.__getitem__, words)))
 
     def decode(self, ids) -> str:
@@ -125,7 +133,7 @@ def encoded(text: Column, path: str) -> Column:
         parts, ends = [], [0]
         for text in texts:
             ids = codec.encode(text.as_py() or "")
-            parts.append(np.array(ids, np.int32))
+            parts.append(np.asarray(array("i", ids)))
             ends.append(ends[-1] + len(ids))
         values = np.concatenate(parts) if parts else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
