@@ -2,7 +2,8 @@
 
 A rule line is `label | keyword | pattern`. Texts are matched as lower-case
 words of letters and digits with one space between them, so a pattern holds no
-punctuation. A rule runs only on texts that have its keyword as a word.
+punctuation. A rule runs only on texts that have its keyword as a word, so the
+keyword is a word of everything that the pattern matches.
 """
 
 from __future__ import annotations
@@ -66,8 +67,12 @@ postgresql     | documentation | permission to use copy modify and distribute th
 ncsa           | deal        | to deal with the software without restriction
 proprietary    | confidential | this (?:software|document|file) (?:is|contains) (?:the )?(?:confidential and proprietary|proprietary and confidential)
 proprietary    | prohibited  | unauthorized (?:copying|reproduction|distribution|use) of this (?:file|software|document|work)(?: [a-z]+){0,6} is strictly prohibited
-no-derivatives | adapt       | you may not (?:adapt|alter|transform|remix) this (?:work|material)
-non-commercial | commercial  | (?:for|only for) non ?commercial (?:use|purposes)(?: only)?
+no-derivatives | adapt       | you may not adapt this (?:work|material)
+no-derivatives | alter       | you may not alter this (?:work|material)
+no-derivatives | transform   | you may not transform this (?:work|material)
+no-derivatives | remix       | you may not remix this (?:work|material)
+non-commercial | commercial  | (?:for|only for) non commercial (?:use|purposes)(?: only)?
+non-commercial | noncommercial | (?:for|only for) noncommercial (?:use|purposes)(?: only)?
 public-domain  | domain      | (?:is|are|been) (?:placed|released|dedicated)? ?(?:in|into|to) the public domain
 """
 
@@ -82,8 +87,8 @@ isc            | isc         | isc licen[sc]e
 0bsd           | 0bsd        | 0bsd(?: licen[sc]e)?
 0bsd           | zero        | (?:bsd zero clause|zero clause bsd)(?: licen[sc]e)?
 bsd-1          | bsd         | (?:bsd 1 clause|1 clause bsd|one clause bsd)(?: licen[sc]e)?
-bsd-2          | bsd         | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd|freebsd)(?: licen[sc]e)?
-bsd-2          | freebsd     | freebsd licen[sc]e
+bsd-2          | bsd         | (?:bsd 2 clause|2 clause bsd|two clause bsd|simplified bsd)(?: licen[sc]e)?
+bsd-2          | freebsd     | freebsd(?: licen[sc]e)?
 bsd-3          | bsd         | (?:bsd 3 clause|3 clause bsd|three clause bsd|new bsd|modified bsd|revised bsd)(?: licen[sc]e)?
 bsd-3-clear    | clear       | (?:bsd 3 clause clear|clear bsd)(?: licen[sc]e)?
 bsd-4          | bsd         | (?:bsd 4 clause|4 clause bsd|four clause bsd|original bsd|old bsd)(?: licen[sc]e)?
@@ -161,7 +166,8 @@ perl           | perl        | (?:under the )?same terms as perl(?: itself)?
 boost-1        | boost       | boost software licen[sc]e(?: version | v ?| )1(?: 0)?
 boost          | boost       | boost (?:software )?licen[sc]e
 zlib           | zlib        | zlib(?: libpng)? licen[sc]e
-libpng         | libpng      | (?:libpng|png reference library) licen[sc]e
+libpng         | libpng      | libpng licen[sc]e
+libpng         | png         | png reference library licen[sc]e
 bzip2          | bzip2       | bzip2 licen[sc]e
 curl           | curl        | curl licen[sc]e
 openssl        | openssl     | openssl licen[sc]e

@@ -2,6 +2,8 @@
 
 import random
 import re
+from itertools import product
+from re import _parser
 
 import pytest
 
@@ -93,3 +95,58 @@ def test_rows(spark):
         text = "cc by nc" if row.doc_id is None else TEXTS[row.doc_id] or ""
         assert row.asDict(recursive=True) == {"doc_id": row.doc_id, **scan(text)}
     assert license_scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def wordings(parsed):
+    """Texts that a parsed pattern matches, with each alternative and each optional part."""
+    out = [""]
+    for kind, own in parsed:
+        if kind is _parser.LITERAL:
+            more = [chr(own)]
+        elif kind is _parser.IN:
+            kinds = [k for k, _ in own]
+            more = ["x"] if _parser.NEGATE in kinds or _parser.RANGE in kinds else [chr(c) for _, c in own]
+        elif kind is _parser.NOT_LITERAL:
+            more = ["x"]
+        elif kind is _parser.BRANCH:
+            more = [text for part in own[1] for text in wordings(part)]
+        elif kind is _parser.SUBPATTERN:
+            more = wordings(own[3])
+        elif kind is _parser.MAX_REPEAT:
+            least, _, part = own
+            once = wordings(part)
+            more = ["".join(t) for n in (least, least + 1) for t in product(once, repeat=n)]
+        else:
+            assert kind in (_parser.ASSERT, _parser.ASSERT_NOT)
+            continue
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_keyword_is_a_word_of_every_wording():
+    for rule in rules():
+        if rule.priority == 3:  # the names of priority 4 after what grants them
+            continue
+        for text in wordings(_parser.parse(rule.pattern.pattern.decode())):
+            assert rule.keyword.decode() in text.split(), (rule.label, text)
+
+
+def test_gate_makes_no_difference():
+    """Each wording gives the labels that it has if no rule looks for its keyword."""
+    own = rules()
+    for rule in own:
+        if rule.priority in (0, 2, 4):
+            for text in wordings(_parser.parse(rule.pattern.pattern.decode()))[:40]:
+                joined = " ".join(text.split()).encode()
+                hits = {Detection(r.label, r.priority, r.confidence, joined[:m.start()].count(b" "),
+                                  joined[:m.end()].count(b" "))
+                        for r in own for m in r.pattern.finditer(joined)}
+                gated = licenses.words_of(text)[1]
+                assert set(licenses.detections(gated) if gated else ()) == hits
+
+
+def test_one_word_alternatives():
+    assert scan("for noncommercial use only")["labels"] == "non-commercial"
+    assert scan("for non-commercial use only")["labels"] == "non-commercial"
+    assert scan("released under freebsd")["labels"] == "bsd-2"
+    assert scan("the PNG Reference Library License")["labels"] == "libpng"
