@@ -188,6 +188,7 @@ class Page:
         self.indents: list[str] = []
         self.mark: str | None = None
         self.empty_line = False  # one is due before the next line
+        self.leads = False  # one was due before the first line
 
     def text(self, data: str) -> None:
         data = SPACES.sub(" ", data)
@@ -205,6 +206,8 @@ class Page:
     def line(self, line: str) -> None:
         if self.empty_line and self.lines:
             self.lines.append("")
+        elif self.empty_line:
+            self.leads = True
         self.empty_line = False
         indent = "".join(self.indents)
         if self.mark is not None:
@@ -237,7 +240,7 @@ class Page:
 
 @dataclass(slots=True)
 class Table:
-    rows: list = field(default_factory=list)  # of (column, columns, text)
+    rows: list = field(default_factory=list)  # of (column, columns, lines, empty line before, after)
     covered: dict = field(default_factory=dict)  # the first row not covered from above, by column
     column: int = 0
     captions: list = field(default_factory=list)
@@ -246,14 +249,16 @@ class Table:
         self.rows.append([])
         self.column = 0
 
-    def cell(self, text: str, columns: int, rows: int) -> None:
+    def cell(self, page: Page, columns: int, rows: int) -> None:
         """Put a cell into the next free column."""
+        page.end_line()
+        lines = [line.expandtabs() for line in page.lines] if any(page.lines) else []
         if not self.rows:
             self.begin_row()
         row = len(self.rows) - 1
         while self.covered.get(self.column, 0) > row:
             self.column += 1
-        self.rows[-1].append((self.column, columns, text))
+        self.rows[-1].append((self.column, columns, lines, page.leads, page.empty_line))
         if rows > 1:
             self.covered |= dict.fromkeys(range(self.column, self.column + columns), row + rows)
         self.column += columns
@@ -261,20 +266,34 @@ class Table:
     def written(self) -> list[str]:
         """The rows, cells of a column one below the other.
 
-        A cell over several columns or of more than MOST_WIDTH characters does
-        not widen its column; what follows it in its row moves on.
+        A row has as many lines as its tallest cell. A cell over several columns
+        or a line of more than MOST_WIDTH characters does not widen its column;
+        what follows it in its line moves on. Where only one column has text,
+        its cells are blocks with their own empty lines around.
         """
         widths: Counter = Counter()
         for row in self.rows:
-            for column, columns, text in row:
-                counts = columns == 1 and len(text) <= MOST_WIDTH
-                widths[column] = max(widths[column], len(text) if counts else bool(text))
+            for column, columns, own, _, _ in row:
+                for line in own:
+                    counts = columns == 1 and len(line) <= MOST_WIDTH
+                    widths[column] = max(widths[column], len(line) if counts else bool(line))
         used = [column for column in sorted(widths) if widths[column]]
+        if len(used) == 1:
+            whole = Page()
+            for row in self.rows:
+                for _, _, own, before, after in row:
+                    if own:
+                        whole.empty_line |= before
+                        for line in own:
+                            whole.line(line)
+                        whole.empty_line = after
+            return whole.lines
         lines = []
         for row in self.rows:
-            texts = {column: text for column, _, text in row}
-            line = CELL_GAP.join(texts.get(column, "").ljust(widths[column]) for column in used)
-            if line.strip():
+            cells = {column: own for column, _, own, _, _ in row if own}
+            for at in range(max(map(len, cells.values()), default=0)):
+                texts = {column: own[at] for column, own in cells.items() if at < len(own)}
+                line = CELL_GAP.join(texts.get(column, "").ljust(widths[column]) for column in used)
                 lines.append(line.rstrip())
         return lines
 
@@ -355,15 +374,14 @@ def render(root: Node) -> str:
             if line.strip():
                 page.line(line)
         if tag in CELLS and tables:
-            text = SPACES.sub(" ", pages.pop().done()).strip()
-            tables[-1].cell(text, _span(node, "colspan"), _span(node, "rowspan"))
+            tables[-1].cell(pages.pop(), _span(node, "colspan"), _span(node, "rowspan"))
         elif tag == "caption" and tables:
             tables[-1].captions.append(pages.pop().done())
         elif tag == "table":
             table = tables.pop()
-            for line in [*"\n".join(table.captions).split("\n"), *table.written()]:
-                if line:
-                    page.line(line)
+            captions = [line for text in table.captions if text for line in text.split("\n")]
+            for line in [*captions, *table.written()]:
+                page.line(line)
             page.block(True)
         elif tag in LISTS:
             lists.pop()
@@ -392,7 +410,7 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
     Lines follow blocks and line breaks; paragraphs, headings, lists and tables
     have an empty line around them; list items have their mark and indent, cells
-    of a table column begin at one place. Scripts, styles, heads, comments and
+    of a table column begin at one place and keep their own lines. Scripts, styles, heads, comments and
     whatever is hidden by tag, attribute or inline style are left out. Cut off
     or wrongly nested markup is mended as browsers do. NULL and empty pages give
     an empty text. Rows stay as they are, repeated ones and NULL ids too; other

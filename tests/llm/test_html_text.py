@@ -73,3 +73,23 @@ def test_rows(spark):
     got = sorted((str(r.page_id), r.text) for r in page_texts(spark.createDataFrame(data, SCHEMA)).collect())
     assert got == [("1", ""), ("2", ""), ("None", "a"), ("None", "a")]
     assert page_texts(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+CELLS = {
+    "<table><tr><td><h1>T</h1><p>one<p>two<ul><li>a<li>b</ul>end</td></tr></table>z":
+        "T\n\none\n\ntwo\n\n- a\n- b\n\nend\n\nz",
+    "<table><tr><td>menu<br>home<td>x<td><ul><li>a<li>b<li>c</ul><tr><td>k<td>y<td>l</table>":
+        "menu  x  - a\nhome     - b\n         - c\nk     y  l",
+    "<table><tr><td>a<td><table><tr><td>p<td>q<tr><td>long<td>r</table><td>z</table>":
+        "a  p     q  z\n   long  r",
+    "<table><tr><td>c<td><pre>\nx\n  y\n\nz</pre></table>": "c  x\n     y\n\n   z",
+    "<table><tr><td>head<tr><td><p>a<p>b<tr><td>foot</table>": "head\n\na\n\nb\n\nfoot",
+    "<table><tr><td><table><tr><td><p>a<p>b</table></table>": "a\n\nb",
+    "<ul><li><table><tr><td>a<br>b<td>c</table><li>d</ul>": "- a  c\n  b\n\n- d",
+    "<table><tr><td>a b\n c<td><tr><td> <td></table>": "a b c",
+}
+
+
+@pytest.mark.parametrize("page", CELLS)
+def test_lines_of_cells(page):
+    assert visible_text(page) == CELLS[page]
