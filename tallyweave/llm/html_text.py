@@ -10,6 +10,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
+from math import inf
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -63,8 +64,9 @@ UNFINISHED = re.compile(r"</?[a-zA-Z]|<[!?]")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 CELL_GAP = "  "
 MOST_COLUMNS = 1_000  # what a colspan counts for at most, as browsers limit it
+MOST_ROWS = 65_534  # the same of a rowspan
 MOST_WIDTH = 80  # characters that a cell widens its column to at most
-MOST_LEVELS = 40  # indents that a nested list shows at most
+MOST_LEVELS = 40  # indents that a nested list shows at most; deeper items have their mark in the last
 
 
 @dataclass(slots=True)
@@ -224,7 +226,7 @@ class Page:
         self.end_line()
         if self.mark is not None:  # the item before had no text
             self.line("")
-        self.indents.append(" " * len(mark))
+        self.indents.append(" " * len(mark) if len(self.indents) < MOST_LEVELS else "")
         self.mark = mark
 
     def end_item(self) -> None:
@@ -249,8 +251,12 @@ class Table:
         self.rows.append([])
         self.column = 0
 
+    def end_group(self) -> None:
+        """No cell reaches over the end of its thead, tbody or tfoot."""
+        self.covered = {}
+
     def cell(self, page: Page, columns: int, rows: int) -> None:
-        """Put a cell into the next free column."""
+        """Put a cell into the next free column; 0 rows go on to the end of the row group."""
         page.end_line()
         lines = [line.expandtabs() for line in page.lines] if any(page.lines) else []
         if not self.rows:
@@ -259,8 +265,9 @@ class Table:
         while self.covered.get(self.column, 0) > row:
             self.column += 1
         self.rows[-1].append((self.column, columns, lines, page.leads, page.empty_line))
-        if rows > 1:
-            self.covered |= dict.fromkeys(range(self.column, self.column + columns), row + rows)
+        if rows != 1:
+            until = row + rows if rows else inf
+            self.covered |= dict.fromkeys(range(self.column, self.column + columns), until)
         self.column += columns
 
     def written(self) -> list[str]:
@@ -298,9 +305,9 @@ class Table:
         return lines
 
 
-def _span(node: Node, name: str) -> int:
-    found = re.match(r"\s*(\d{1,4})", node.attrs.get(name) or "")
-    return min(max(int(found[1]), 1), MOST_COLUMNS) if found else 1
+def _span(node: Node, name: str, least: int, most: int) -> int:
+    found = re.match(r"\s*\+?0*([0-9]{1,9})", node.attrs.get(name) or "")
+    return min(max(int(found[1]), least), most) if found else 1
 
 
 def render(root: Node) -> str:
@@ -357,7 +364,7 @@ def render(root: Node) -> str:
                 mark = f"{lists[-1][1]}. " if numbered else "- "
                 if numbered:
                     lists[-1][1] += 1
-                page.begin_item(mark if len(page.indents) < MOST_LEVELS else "")
+                page.begin_item(mark)
             elif tag == "dd":
                 page.end_line()
                 page.indents.append("  " if len(page.indents) < MOST_LEVELS else "")
@@ -374,7 +381,10 @@ def render(root: Node) -> str:
             if line.strip():
                 page.line(line)
         if tag in CELLS and tables:
-            tables[-1].cell(pages.pop(), _span(node, "colspan"), _span(node, "rowspan"))
+            columns, rows = _span(node, "colspan", 1, MOST_COLUMNS), _span(node, "rowspan", 0, MOST_ROWS)
+            tables[-1].cell(pages.pop(), columns, rows)
+        elif tag in SECTIONS and tables:
+            tables[-1].end_group()
         elif tag == "caption" and tables:
             tables[-1].captions.append(pages.pop().done())
         elif tag == "table":

@@ -93,3 +93,17 @@ CELLS = {
 @pytest.mark.parametrize("page", CELLS)
 def test_lines_of_cells(page):
     assert visible_text(page) == CELLS[page]
+
+
+@pytest.mark.parametrize("span, rows", [("1500", 1500), ("0", 1500), ("99999", 1500), ("+2", 2), ("0003", 3), ("x", 1)])
+def test_row_spans(span, rows):
+    page = f"<table><tr><td rowspan='{span}'>a<td>b" + "<tr><td>c" * 1499 + "<tbody><tr><td>d<td>e</table>"
+    lines = ["a  b", *["   c"] * (rows - 1), *["c"] * (1500 - rows), "d  e"]
+    assert visible_text(page) == "\n".join(lines)
+
+
+def test_marks_of_deep_items():
+    page = "".join(f"<ol start={n}><li>i{n}" for n in range(1, 61))
+    lines = visible_text(page).split("\n")
+    assert [line.split() for line in lines] == [[f"{n}.", f"i{n}"] for n in range(1, 61)]
+    assert len({line.index(".") for line in lines[40:]}) == 1
