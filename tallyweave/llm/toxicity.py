@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import whole_text
+from .common import stored, whole_text
 
 NGRAMS = range(3, 6)
 BUCKET_BITS = 17
@@ -242,8 +242,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     )
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
     order = F.xxhash64("doc_id", F.lit(SEED))
-    picked = known.filter("toxic = 0").orderBy(order, "doc_id").limit(TRAIN_ROWS).unionByName(
-        known.filter("toxic = 1").orderBy(order, "doc_id").limit(TRAIN_ROWS)
+    # only ids with a text short enough are picked from, so that those without take no place
+    usable = stored(
+        known.join(
+            docs.filter(F.length(whole_text("text")) <= TRAIN_CHARS).select("doc_id").distinct(),
+            "doc_id", "left_semi",
+        ),
+        "toxic-labels",
+    )
+    picked = usable.filter("toxic = 0").orderBy(order, "doc_id").limit(TRAIN_ROWS).unionByName(
+        usable.filter("toxic = 1").orderBy(order, "doc_id").limit(TRAIN_ROWS)
     )
     # at most 2 * TRAIN_ROWS ids are sent to every task, and as many texts come back
     rows = (

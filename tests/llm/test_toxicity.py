@@ -86,3 +86,16 @@ def test_held_out_rule(spark):
         "doc_id", is_held_out().alias("out")).collect()
     assert {r.doc_id: r.out for r in got} == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in ids}
     assert spark.range(1).select(F.crc32(F.lit("x"))).first()
+
+
+def test_training_rows_come_from_usable_texts(spark, monkeypatch):
+    """Labels whose text is too long or missing take no other row's place."""
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 150)
+    docs, labels = corpus()
+    docs += [(i, "grumblor " * 3000, "s", 1.0) for i in range(600, 3600)]
+    labels += [(i, 1) for i in range(600, 6600)]  # the last 3,000 are not in docs
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, share: seen.extend(toxic))
+    fit(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    known = [toxic for i, toxic in labels[:600] if zlib.crc32(str(i).encode()) % 5]
+    assert seen.count(1) == min(150, sum(known)) and seen.count(0) == 150
