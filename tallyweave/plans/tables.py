@@ -24,12 +24,19 @@ def _fresh(spark: SparkSession, purpose: str) -> str:
 
 
 def table_save(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders saved as a table in partitions."""
+    """Orders of status F and P saved as a table in partitions."""
     name = _fresh(spark, "saved")
     up.create_table(cases._old_orders(spark, folder), name, ["o_orderstatus"])
     return tb.scan_table(spark, name)
 
 
+def table_save_all(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders saved as a table in partitions."""
+    name = _fresh(spark, "saved_all")
+    up.create_table(parquet_table(spark, folder, "orders"), name, ["o_orderstatus"])
+    return tb.scan_table(spark, name)
+
+
 def table_replace(spark: SparkSession, folder: str) -> DataFrame:
     """A table replaced by its own content and what has come in."""
     name = _fresh(spark, "replaced")
@@ -114,6 +121,7 @@ def header_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "table_save": (table_save, f"WITH {cases._ORDERS} SELECT * FROM old"),
+    "table_save_all": (table_save_all, "SELECT * EXCLUDE (o_orderstatus), o_orderstatus FROM orders"),
     "table_replace": (table_replace, cases.QUERIES["merge_upsert"][1]),
     "table_widen": (table_widen, cases.QUERIES["schema_merge_union"][1]),
     "table_as_query": (table_as_query, """

@@ -1,5 +1,6 @@
 """Merges, deletes, change feeds and table versions."""
 
+import __spark_entry__ as entry_module
 import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
@@ -164,3 +165,11 @@ def test_tables(spark):
     up.replace_table(up.drop_columns(spark.table("fresh"), "rank", "absent"), "fresh")
     assert "rank" not in spark.table("fresh").columns
     tb.use_namespace(spark, "default")
+
+
+def test_all_orders_are_saved(spark):
+    folder = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    saved = entry_module.queries()["table_save_all"](spark, folder)
+    counts = [dict(df.groupBy("o_orderstatus").count().collect()) for df in (orders, saved)]
+    assert counts[0] == counts[1] and "O" in counts[1]
