@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ..sources.tables import parquet_table
+from . import language
 from .bpe import bpe_digests
+from .collocations import collocations
 from .exact import exact_groups
 from .fingerprints import edited_fingerprints, written
 from .html_text import page_texts
@@ -16,6 +18,7 @@ from .mixing import mix
 from .simhash import simhash_groups
 from .token_counts import token_counts
 from .toxicity import fit, is_held_out, toxicity_scores
+from .variants import misspelt, variants
 from .warc import archived
 
 PIECES = "piece_bpe_32k.model"
@@ -188,6 +191,69 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return language.languages(docs, language.fit(docs)).select(
+        "doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
+MISSPELT = 31  # one run in so many loses a code point
+
+
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants(documents(spark, folder), misspelt(MISSPELT))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(documents(spark, folder))
+
+
+def _gram_sql(size: int) -> str:
+    ahead = [f"lead(word, {at}) OVER piece" for at in range(1, size)]
+    phrase = " || ' ' || ".join(["word", *ahead])
+    return f"""
+    SELECT lang, phrase, {size} AS size, count(*) AS n FROM (
+        SELECT lang, {phrase} AS phrase FROM words
+        WINDOW piece AS (PARTITION BY doc, piece ORDER BY place))
+    WHERE phrase IS NOT NULL GROUP BY ALL HAVING count(*) >= 30"""
+
+
+OP13_COLLOCATIONS = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents),
+split AS (SELECT doc, lang, regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]') AS pieces FROM texts),
+pieces AS (SELECT doc, lang, unnest(pieces) AS text, generate_subscripts(pieces, 1) AS piece FROM split),
+listed AS (SELECT doc, lang, piece, regexp_extract_all(text, '[^\x20\x09]+') AS found FROM pieces),
+words AS (SELECT doc, lang, piece, unnest(found) AS word, generate_subscripts(found, 1) AS place FROM listed),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+counts AS MATERIALIZED ({" UNION ALL ".join(map(_gram_sql, range(1, 5)))}),
+candidates AS MATERIALIZED (
+    SELECT lang, phrase, size, n AS a, string_split(phrase, ' ') AS own FROM counts WHERE size > 1),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, k, l.n AS l, r.n AS r, 2000000::HUGEINT * c.a // (l.n + r.n) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+    JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(own[1:k], ' ')
+    JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(own[k + 1:], ' ')),
+best AS (
+    SELECT * FROM cuts
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, array_to_string(own[begin_at:begin_at + len - 1], ' ') AS phrase, max(a) AS longer FROM (
+        SELECT *, unnest(range(1, size - len + 2)) AS begin_at
+        FROM (SELECT *, unnest(range(2, size)) AS len FROM candidates))
+    GROUP BY ALL),
+ranked AS (
+    SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+    FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+    WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     "op1_licenses": (op1_licenses, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -199,4 +265,7 @@ QUERIES = {
     "op8_warc": (op8_warc, OP8_WARC),
     "op9_bpe": (op9_bpe, None),
     "op10_fingerprints": (op10_fingerprints, None),
+    "op11_language": (op11_language, None),
+    "op12_variants": (op12_variants, None),
+    "op13_collocations": (op13_collocations, OP13_COLLOCATIONS),
 }
