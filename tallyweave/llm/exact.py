@@ -80,22 +80,22 @@ def exact_groups(
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """`docs` with one row of every group of equal texts, that of `exact_groups`.
 
-    All columns come back, whatever their names.
+    All columns come back, whatever their names: a row travels as one struct.
     """
     kept = exact_groups(docs.select("doc_id", "text")).filter("kept").select(
-        F.col("doc_id").alias("_exact_id"), F.col("content").alias("_exact_content"),
-        F.col("copies").alias("_exact_copies"),
+        F.col("doc_id").alias("keep_id"), F.col("content").alias("keep_content"), "copies"
+    )
+    hashed = docs.select(
+        F.struct("*").alias("whole"), F.col("doc_id").alias("own_id"),
+        content_hash(normalised("text")).alias("own_content"),
     )
-    hashed = docs.withColumn("_exact_hash", content_hash(normalised("text")))
     staying = hashed.join(
         kept,
-        F.col("doc_id").eqNullSafe(F.col("_exact_id"))
-        & (F.col("_exact_hash") == F.col("_exact_content")),
+        F.col("own_id").eqNullSafe(F.col("keep_id"))
+        & (F.col("own_content") == F.col("keep_content")),
     )
-    single = staying.filter("_exact_copies = 1").select(*docs.columns)
+    single = staying.filter("copies = 1").select("whole.*")
     repeated = (
-        staying.filter("_exact_copies > 1")
-        .dropDuplicates(["_exact_id", "_exact_hash"])
-        .select(*docs.columns)
+        staying.filter("copies > 1").dropDuplicates(["keep_id", "own_content"]).select("whole.*")
     )
     return single.unionByName(repeated)

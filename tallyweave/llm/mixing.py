@@ -177,12 +177,12 @@ def mix(
 
 
 def mixed(docs: DataFrame, domain: Column, share: tuple[int, int], **how) -> DataFrame:
-    """The rows of `docs` that one pass of the mixture takes, with all their columns."""
+    """The rows of `docs` that one pass of the mixture takes, with all their columns, whatever their names."""
     taken = mix(docs.select("doc_id", "text", "lang", "source"), domain, share, epochs=1, **how)
-    taken = taken.select(*[F.col(key).alias(f"_mix_{key}") for key in ("doc_id", *LEVELS)])
-    keyed = docs.withColumn("_mix", F.struct(
-        F.col("doc_id").alias("doc_id"), domain.cast("string").alias("domain"),
-        F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
-    ))
-    same = [F.col(f"_mix.{key}").eqNullSafe(F.col(f"_mix_{key}")) for key in ("doc_id", *LEVELS)]
-    return keyed.join(taken, reduce(lambda a, b: a & b, same), "left_semi").select(*docs.columns)
+    keys = ("doc_id", *LEVELS)
+    taken = taken.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    own = [F.col("doc_id"), domain.cast("string"), F.col("lang").cast("string"), F.col("source").cast("string")]
+    keyed = docs.select(
+        F.struct("*").alias("whole"), *[value.alias(key) for key, value in zip(keys, own)]
+    )
+    return keyed.join(taken, same_keys(keys), "left_semi").select("whole.*")

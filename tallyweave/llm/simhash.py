@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .common import stored, whole_text
 
 SHINGLE_WORDS = 3
@@ -315,6 +316,7 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     NULL. Repeated rows each come back. No rows give no rows. Other columns are
     `root`, the component's least fingerprint, and `content`, a hash of the text.
     """
+    ship_package(docs.sparkSession)
     text = whole_text("text")
     marked = stored(
         docs.select("doc_id", fingerprints(text).alias("fp"), F.xxhash64(text).alias("content")),
@@ -338,23 +340,24 @@ def simhash_dedup(docs: DataFrame) -> DataFrame:
     """`docs` with one row of every component, that of the smallest doc_id.
 
     Of several rows with this doc_id one stays; a component without ids keeps
-    one row as well. All columns come back, whatever their names.
+    one row as well. All columns come back, whatever their names:
+    a row travels as one struct.
     """
     kept = (
         simhash_groups(docs.select("doc_id", "text"))
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
-        .agg(F.min("doc_id").alias("_near_id"), F.min("content").alias("_near_content"),
-             F.count("*").alias("_near_rows"))
-        .withColumnRenamed("root", "_near_root")
+        .agg(F.min("doc_id").alias("keep_id"), F.min("content").alias("keep_content"),
+             F.count("*").alias("copies"))
     )
-    staying = docs.withColumn("_near_own", F.xxhash64(whole_text("text"))).join(
+    staying = docs.select(
+        F.struct("*").alias("whole"), F.col("doc_id").alias("own_id"),
+        F.xxhash64(whole_text("text")).alias("own_content"),
+    ).join(
         kept,
-        F.col("doc_id").eqNullSafe(F.col("_near_id"))
-        & (F.col("_near_own") == F.col("_near_content")),
-    )
-    single = staying.filter("_near_rows = 1").select(*docs.columns)
-    repeated = (
-        staying.filter("_near_rows > 1").dropDuplicates(["_near_root"]).select(*docs.columns)
+        F.col("own_id").eqNullSafe(F.col("keep_id"))
+        & (F.col("own_content") == F.col("keep_content")),
     )
+    single = staying.filter("copies = 1").select("whole.*")
+    repeated = staying.filter("copies > 1").dropDuplicates(["root"]).select("whole.*")
     return single.unionByName(repeated)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .common import stored, whole_text
 
 NGRAMS = range(3, 6)
@@ -264,8 +265,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return train(rows["text"].tolist(), rows["toxic"].tolist(), float(share))
 
 
-def scored_by(model: Model, text):
-    """The score of a text column under `model`."""
+def scored_by(docs: DataFrame, model: Model, text):
+    """The score of a text column of `docs` under `model`."""
+    ship_package(docs.sparkSession)
     margins = model.margins().astype(np.float32)
     bias, share = float(model.bias[1] - model.bias[0]), model.share
 
@@ -285,13 +287,12 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
     stay as they are, repeated ones and NULL ids too; only `doc_id` and `text`
     are looked at, and the score depends on the text alone.
     """
-    return docs.select("doc_id", scored_by(model, "text").alias("score")).withColumn(
+    return docs.select("doc_id", scored_by(docs, model, "text").alias("score")).withColumn(
         "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
     )
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of `docs` that the model does not call toxic, with all their columns."""
-    return docs.withColumn("_toxic_score", scored_by(model, "text")).filter(
-        "_toxic_score < 0.5"
-    ).select(*docs.columns)
+    """The rows of `docs` that the model does not call toxic, with all their columns, whatever their names."""
+    scored = docs.select(F.struct("*").alias("whole"), scored_by(docs, model, "text").alias("score"))
+    return scored.filter("score < 0.5").select("whole.*")
