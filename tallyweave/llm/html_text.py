@@ -7,8 +7,9 @@ walked once. Nothing recurses, so pages may nest as deep as they like.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
+from html import unescape
 from html.parser import HTMLParser
 from math import inf
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
 from .common import whole_text
 
 
@@ -59,14 +61,19 @@ ENDS = {
 }
 ENDS_P = BLOCKS - _names("body html caption option optgroup legend summary")
 P_BOUNDARY = CELLS | _names("table caption button object template")
-NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+RAW = _names("textarea title")  # what they hold is text up to their end tag
+COMMENTS = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+SIMPLE = re.compile(r"(\*|[a-zA-Z][\w-]*)?((?:[.#][\w-]+)*)")
+LOOKED_AT = _names("display visibility")
 UNFINISHED = re.compile(r"</?[a-zA-Z]|<[!?]")
 SPACES = re.compile(r"[ \t\n\r\f]+")
 CELL_GAP = "  "
 MOST_COLUMNS = 1_000  # what a colspan counts for at most, as browsers limit it
 MOST_ROWS = 65_534  # the same of a rowspan
-MOST_WIDTH = 80  # characters that a cell widens its column to at most
-MOST_LEVELS = 40  # indents that a nested list shows at most; deeper items have their mark in the last
+CELL_WIDTH = 80  # lines of a cell are folded to so many characters
+MOST_LEVELS = 512  # indents, as many as browsers nest elements
+ROMAN = [(1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"),
+         (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i")]
 
 
 @dataclass(slots=True)
@@ -84,6 +91,7 @@ class TreeBuilder(HTMLParser):
         self.root = Node("html", {})
         self.open = [self.root]
         self.counts = Counter({"html": 1})
+        self.sheets: list[str] = []
 
     def _push(self, tag: str, attrs: dict) -> None:
         node = Node(tag, attrs)
@@ -135,6 +143,8 @@ class TreeBuilder(HTMLParser):
             self._pop_to(len(self.open) - 1)
         self._imply(tag)
         self._push(tag, attrs)
+        if tag in RAW:
+            self.set_cdata_mode(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # a slash closes nothing but void elements
@@ -156,29 +166,153 @@ class TreeBuilder(HTMLParser):
                     break
 
     def handle_data(self, data: str) -> None:
+        own = self.open[-1]
+        if own.tag == "style" and _is_for_screens(own.attrs.get("media")):
+            self.sheets.append(data)
+        elif own.tag in RAW:
+            data = unescape(data)
         if not self.counts["body"] and self.open[-1].tag in ("html", "head") and data.strip():
             self._imply("text")
         self.open[-1].children.append(data)
 
 
 def tree_of(html: str) -> Node:
+    return built(html).root
+
+
+def built(html: str) -> TreeBuilder:
     builder = TreeBuilder()
     builder.feed(html)
-    if UNFINISHED.match(builder.rawdata):
+    if builder.cdata_elem in RAW:
+        builder.handle_data(builder.rawdata)
+    if builder.cdata_elem in RAW or UNFINISHED.match(builder.rawdata):
         builder.rawdata = ""  # a tag or comment that the page's end cuts off
     builder.close()
-    return builder.root
+    return builder
+
+
+def _is_for_screens(media: str | None) -> bool:
+    return not (media or "").strip() or any(
+        part.strip().lower() in ("all", "screen") for part in media.split(","))
+
+
+def declarations(style: str) -> dict[str, tuple[bool, str]]:
+    """The last value of each property looked at and whether it is important; that wins."""
+    found: dict[str, tuple[bool, str]] = {}
+    for part in COMMENTS.sub(" ", style).split(";"):
+        name, colon, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if not colon or name not in LOOKED_AT:
+            continue
+        value, mark, importance = value.partition("!")
+        important = mark == "!" and importance.strip() == "important"
+        if value.strip() and important >= found.get(name, (False, ""))[0]:
+            found[name] = (important, value.strip())
+    return found
 
 
-def is_visible(node: Node) -> bool:
+class Sheet:
+    """The rules of a page's style elements that say what shows.
+
+    Selectors are a tag, classes and ids written together, and lists of those;
+    others, such as those with ancestors or states, and rules inside blocks
+    that begin with @ are not followed.
+    """
+
+    def __init__(self, sheets: list[str]):
+        self.rules = defaultdict(list)  # by the id, class or tag that a selector needs
+        order = 0
+        for sheet in sheets:
+            for selectors, body in _plain_rules(COMMENTS.sub(" ", sheet)):
+                said = declarations(body)
+                for selector in selectors.split(",") if said else ():
+                    found = SIMPLE.fullmatch(selector.strip())
+                    if not found or not selector.strip():
+                        continue
+                    tag = (found[1] or "*").lower()
+                    parts = frozenset(re.findall(r"[.#][\w-]+", found[2]))
+                    ids = sum(part[0] == "#" for part in parts)
+                    rank = (ids, len(parts) - ids, tag != "*", order)
+                    self.rules[min(parts, default=tag)].append((rank, tag, parts, said))
+                    order += 1
+
+    def said(self, node: Node) -> dict[str, str]:
+        """Display and visibility of an element, as far as its style and the rules give them."""
+        own = declarations(node.attrs.get("style") or "")
+        if not self.rules:
+            return {name: value for name, (_, value) in own.items()}
+        marks = {f".{name}" for name in (node.attrs.get("class") or "").split()}
+        marks.add(f"#{node.attrs.get('id') or ''}")
+        found = []
+        for key in (node.tag, "*", *marks):
+            for rank, tag, parts, said in self.rules.get(key, ()):
+                if tag in ("*", node.tag) and parts <= marks:
+                    found += [(name, (important, 0, rank), value) for name, (important, value) in said.items()]
+        found += [(name, (important, 1, ()), value) for name, (important, value) in own.items()]
+        return {name: value for name, _, value in sorted(found, key=lambda item: item[1])}
+
+
+def _plain_rules(sheet: str):
+    """Selectors and bodies of the rules that stand outside @ blocks."""
+    at = 0
+    while found := re.compile(r"[^{};]*[{;]").match(sheet, at):
+        head = found[0].strip()
+        at = found.end()
+        if head.endswith(";"):
+            continue
+        depth = 1
+        begin = at
+        for brace in re.compile(r"[{}]").finditer(sheet, at):
+            depth += 1 if brace[0] == "{" else -1
+            if not depth:
+                break
+        else:
+            return
+        at = brace.end()
+        if not head.startswith("@"):
+            yield head[:-1], sheet[begin:brace.start()]
+
+
+def is_there(node: Node, said: dict[str, str]) -> bool:
+    """Whether an element takes part in the page at all."""
     attrs = node.attrs
-    if node.tag in HIDDEN or "hidden" in attrs:
+    if node.tag in HIDDEN or said.get("display") == "none":
         return False
-    if node.tag == "dialog" and "open" not in attrs:
+    if "display" not in said and ("hidden" in attrs or node.tag == "dialog" and "open" not in attrs):
         return False
     if node.tag == "input":
         return (attrs.get("type") or "").lower() in ("submit", "button", "reset")
-    return not NOT_SHOWN.search(attrs.get("style") or "")
+    return True
+
+
+def numeral(number: int, kind: str) -> str:
+    """A list number as `type` says: 1, a, A, i or I."""
+    if kind in ("a", "A") and number > 0:
+        out = ""
+        while number:
+            number, letter = divmod(number - 1, 26)
+            out = chr(ord(kind) + letter) + out
+        return out
+    if kind in ("i", "I") and 0 < number < 4000:
+        out = ""
+        for value, letters in ROMAN:
+            out += letters * (number // value)
+            number %= value
+        return out if kind == "i" else out.upper()
+    return str(number)
+
+
+def folded(line: str, width: int) -> list[str]:
+    """A line as several of at most `width` characters, cut at spaces where there are any."""
+    out = []
+    while len(line) > width:
+        at = line.rfind(" ", 1, width + 1)
+        lead = len(line) - len(line.lstrip(" "))
+        if at <= lead:
+            at = width
+        out.append(line[:at].rstrip(" "))
+        line = line[at:].lstrip(" ")
+    return [*out, line]
 
 
 class Page:
@@ -273,18 +407,12 @@ class Table:
     def written(self) -> list[str]:
         """The rows, cells of a column one below the other.
 
-        A row has as many lines as its tallest cell. A cell over several columns
-        or a line of more than MOST_WIDTH characters does not widen its column;
-        what follows it in its line moves on. Where only one column has text,
-        its cells are blocks with their own empty lines around.
+        A row has as many lines as its tallest cell; lines of more than
+        CELL_WIDTH characters are folded. A cell over several columns does not
+        widen its column; what follows it in its line moves on. Where only one
+        column has text, its cells are blocks with their own empty lines around.
         """
-        widths: Counter = Counter()
-        for row in self.rows:
-            for column, columns, own, _, _ in row:
-                for line in own:
-                    counts = columns == 1 and len(line) <= MOST_WIDTH
-                    widths[column] = max(widths[column], len(line) if counts else bool(line))
-        used = [column for column in sorted(widths) if widths[column]]
+        used = sorted({column for row in self.rows for column, _, own, _, _ in row if own})
         if len(used) == 1:
             whole = Page()
             for row in self.rows:
@@ -295,9 +423,18 @@ class Table:
                             whole.line(line)
                         whole.empty_line = after
             return whole.lines
-        lines = []
+        widths: Counter = Counter()
+        rows = []
         for row in self.rows:
-            cells = {column: own for column, _, own, _, _ in row if own}
+            rows.append([])
+            for column, columns, own, _, _ in row:
+                own = [part for line in own for part in folded(line, CELL_WIDTH)]
+                rows[-1].append((column, own))
+                if columns == 1:
+                    widths[column] = max(widths[column], *map(len, own), 0)
+        lines = []
+        for row in rows:
+            cells = {column: own for column, own in row if own}
             for at in range(max(map(len, cells.values()), default=0)):
                 texts = {column: own[at] for column, own in cells.items() if at < len(own)}
                 line = CELL_GAP.join(texts.get(column, "").ljust(widths[column]) for column in used)
@@ -310,15 +447,28 @@ def _span(node: Node, name: str, least: int, most: int) -> int:
     return min(max(int(found[1]), least), most) if found else 1
 
 
-def render(root: Node) -> str:
+def _items(node: Node) -> int:
+    return sum(isinstance(child, Node) and child.tag == "li" for child in node.children)
+
+
+def _number(node: Node, name: str) -> int | None:
+    found = re.match(r"\s*([-+]?\d{1,9})", node.attrs.get(name) or "")
+    return int(found[1]) if found else None
+
+
+def render(root: Node, sheet: Sheet | None = None) -> str:
     """The visible text of a tree."""
+    sheet = sheet or Sheet([])
     pages, tables, lists = [Page()], [], []
-    steps: list = [(root, True)]
+    # a node, whether it is entered, whether visibility lets its text show
+    steps: list = [(root, True, True)]
     pre = 0
     while steps:
-        node, entering = steps.pop()
+        node, entering, shown = steps.pop()
         page = pages[-1]
         if isinstance(node, str):
+            if not shown:
+                continue
             if pre:
                 first, *others = node.replace("\r\n", "\n").split("\n")
                 page.run.append(first)
@@ -330,13 +480,16 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if entering:
-            if not is_visible(node):
+            said = sheet.said(node)
+            if not is_there(node, said):
                 continue
-            steps.append((node, False))
+            if said.get("visibility", "inherit") != "inherit":
+                shown = said["visibility"] not in ("hidden", "collapse")
+            steps.append((node, False, shown))
             children = node.children
             if tag == "details" and "open" not in node.attrs:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"]
-            steps.extend((child, True) for child in reversed(children))
+            steps.extend((child, True, shown) for child in reversed(children))
             if tag == "br":
                 if page.run:
                     page.end_line()
@@ -345,7 +498,7 @@ def render(root: Node) -> str:
             elif tag == "hr":
                 page.block(True)
             elif tag == "input":
-                page.text(node.attrs.get("value") or "")
+                page.text(node.attrs.get("value") or "" if shown else "")
             elif tag in CELLS and tables:
                 pages.append(Page())
             elif tag == "caption" and tables:
@@ -357,14 +510,22 @@ def render(root: Node) -> str:
                 tables.append(Table())
             elif tag in LISTS:
                 page.block(not lists)
-                start = re.match(r"\s*(-?\d{1,9})", node.attrs.get("start") or "")
-                lists.append([tag == "ol", int(start[1]) if start else 1])
+                backwards = tag == "ol" and "reversed" in node.attrs
+                start = _number(node, "start")
+                if start is None:
+                    start = _items(node) if backwards else 1
+                kind = (node.attrs.get("type") or "1").strip() if tag == "ol" else ""
+                lists.append([kind, start, -1 if backwards else 1])
             elif tag == "li":
-                numbered = bool(lists) and lists[-1][0]
-                mark = f"{lists[-1][1]}. " if numbered else "- "
-                if numbered:
-                    lists[-1][1] += 1
+                mark = "- "
+                if lists and lists[-1][0]:
+                    own = _number(node, "value")
+                    number = lists[-1][1] if own is None else own
+                    mark = f"{numeral(number, (node.attrs.get('type') or lists[-1][0]).strip())}. "
+                    lists[-1][1] = number + lists[-1][2]
                 page.begin_item(mark)
+                if not shown:
+                    page.mark = None
             elif tag == "dd":
                 page.end_line()
                 page.indents.append("  " if len(page.indents) < MOST_LEVELS else "")
@@ -373,7 +534,7 @@ def render(root: Node) -> str:
             if tag == "pre":
                 pre += 1
                 if children and isinstance(children[0], str):  # a line end right behind the tag
-                    steps[-1] = (children[0].removeprefix("\n"), True)
+                    steps[-1] = (children[0].removeprefix("\n"), True, shown)
             continue
         if tag == "pre":
             pre -= 1
@@ -407,7 +568,8 @@ def render(root: Node) -> str:
 
 
 def visible_text(html: str | None) -> str:
-    return render(tree_of(html or ""))
+    page = built(html or "")
+    return render(page.root, Sheet(page.sheets))
 
 
 @F.pandas_udf(T.StringType())
@@ -420,10 +582,12 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
     Lines follow blocks and line breaks; paragraphs, headings, lists and tables
     have an empty line around them; list items have their mark and indent, cells
-    of a table column begin at one place and keep their own lines. Scripts, styles, heads, comments and
-    whatever is hidden by tag, attribute or inline style are left out. Cut off
+    of a table column begin at one place and keep their own lines, folded at 80
+    characters. Scripts, heads, comments and whatever is hidden by tag,
+    attribute, style or the page's style elements (see `Sheet`) are left out. Cut off
     or wrongly nested markup is mended as browsers do. NULL and empty pages give
     an empty text. Rows stay as they are, repeated ones and NULL ids too; other
     columns are not looked at.
     """
+    ship_package(pages.sparkSession)
     return pages.select("page_id", _rendered(whole_text("html")).alias("text"))

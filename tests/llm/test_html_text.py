@@ -1,6 +1,7 @@
 """Rendered pages: layouts by hand, and all words against a flat reading."""
 
 import html
+import random
 import re
 
 import pytest
@@ -52,7 +53,7 @@ def test_depth_and_size():
     assert visible_text("<ul><li>" * 3_000 + "y").endswith("y")
     assert visible_text("<p>word " * 50_000).count("word") == 50_000
     wide = "<table>" + "<tr><td>a<td>b" * 5_000 + f"<tr><td>{'x' * 100_000}<td>c</table>"
-    assert len(visible_text(wide)) < 300_000
+    assert len(visible_text(wide)) < 700_000
 
 
 def flat(page):
@@ -75,6 +76,99 @@ def test_rows(spark):
     assert page_texts(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+SHOWN = {
+    "<p style='display:none;display:block'>a": "a",
+    "<p style='x-display:none-ish'>a": "a",
+    "<p style='display:none !important;display:block'>a</p>b": "b",
+    "<div style='visibility:hidden'>a<p style='visibility:visible'>b</p>c</div>": "b",
+    "<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>": "- b",
+    "<style>.h{display:none} #i, p.k {visibility:hidden}</style><p class='x h'>a<p id=i>b<p class=k>c<div class=k>d": "d",
+    "<style>p{display:none}.s{display:block}/* .s{display:none} */</style><p>a<p class=s>b": "b",
+    "<style>.s{display:block} p{display:none}</style><p class=s>b": "b",
+    "<style>@media print{.s{display:none}}div .s{display:none}@import 'x';.t{display:none}</style>"
+    "<p class=s>b<p class=t>c": "b",
+    "<style media=print>p{display:none}</style><p>a": "a",
+    "<style>#a{display:none}</style><p id=a style='display:block'>a": "a",
+    "<style>p{display:none!important}</style><p style='display:block'>a</p>b": "b",
+    "<style>.b{display:block}</style><p hidden>a<p hidden class=b>b": "b",
+    "<textarea><b>x</b> &amp; y</textarea>": "<b>x</b> & y",
+    "<title><b></title><p>a": "a",
+    "<textarea><b>x": "<b>x",
+    "<ol><li>a<li value=9>b<li>c</ol>": "1. a\n9. b\n10. c",
+    "<ol reversed><li>a<li>b<li>c</ol>": "3. a\n2. b\n1. c",
+    "<ol reversed start=10><li>a<li>b</ol>": "10. a\n9. b",
+    "<ol type=a start=26><li>a<li>b</ol>": "z. a\naa. b",
+    "<ol type=I start=3><li>a<li>b<li type=A>c</ol>": "III. a\nIV. b\nE. c",
+    "<ol type=i start=0><li>a<li>b</ol>": "0. a\ni. b",
+}
+
+
+@pytest.mark.parametrize("page", SHOWN)
+def test_what_shows(page):
+    assert visible_text(page) == SHOWN[page]
+
+
+def test_long_cells_are_folded():
+    words = " ".join(["word"] * 30)
+    lines = visible_text(f"<table><tr><td>{words}<td>b<tr><td>{'x' * 90}<td>c</table>").split("\n")
+    assert [line.split()[-1] for line in lines] == ["b", "word", "c", "x" * 10]
+    assert {lines[0].index("b"), lines[2].index("c")} == {82}
+    assert sum(line.count("word") for line in lines) == 30
+
+
+def made_up(pick, depth=0):
+    """A piece of a page and the lines that it shows, made side by side by plain rules.
+
+    Lines come with a flag: whether an empty line has to stand between the
+    piece and its neighbours.
+    """
+    word = lambda: "".join(pick.choices("abcde", k=pick.randint(1, 5)))
+    kind = pick.choice(["p", "div", "hidden", "table", "ul", "ol", "blockquote"] if depth < 3 else ["p", "div"])
+    if kind in ("p", "div"):
+        words = [word() for _ in range(pick.randint(1, 4))]
+        return f"<{kind}>{pick.choice([' ', chr(10)]).join(words)}</{kind}>", [" ".join(words)], kind == "p"
+    if kind == "hidden":
+        return f"<div hidden><p>{word()}</div>", [], False
+    if kind == "table":
+        cells = [[word() for _ in range(3)] for _ in range(pick.randint(1, 3))]
+        widths = [max(len(row[at]) for row in cells) for at in range(3)]
+        source = "".join("<tr>" + "".join(f"<td>{cell}" for cell in row) for row in cells)
+        lines = ["  ".join(cell.ljust(width) for cell, width in zip(row, widths)).rstrip() for row in cells]
+        return f"<table>{source}</table>", lines, True
+    if kind == "blockquote":
+        source, lines = several(pick, depth + 1)
+        return f"<blockquote>{source}</blockquote>", lines, True
+    source, lines = "", []
+    for number in range(1, pick.randint(2, 4)):
+        mark = "- " if kind == "ul" else f"{number}. "
+        text = word()
+        inner, own = f"<div>{text}</div>", [text]
+        if depth < 2 and pick.random() < 0.4:
+            more = [word() for _ in range(2)]
+            inner += "<ul>" + "".join(f"<li>{item}" for item in more) + "</ul>"
+            own += [f"- {item}" for item in more]
+        source += f"<li>{inner}"
+        lines += [mark + own[0], *[" " * len(mark) + line for line in own[1:]]]
+    return f"<{kind}>{source}</{kind}>", lines, True
+
+
+def several(pick, depth=0):
+    source, lines, due = "", [], False
+    for _ in range(pick.randint(1, 5)):
+        piece, own, apart = made_up(pick, depth)
+        source += piece
+        if own:
+            lines += [""] * bool(lines and (due or apart)) + own
+            due = apart
+    return source, lines
+
+
+def test_made_up_pages():
+    for seed in range(400):
+        source, lines = several(random.Random(seed))
+        assert visible_text(source) == "\n".join(lines), (seed, source)
+
+
 CELLS = {
     "<table><tr><td><h1>T</h1><p>one<p>two<ul><li>a<li>b</ul>end</td></tr></table>z":
         "T\n\none\n\ntwo\n\n- a\n- b\n\nend\n\nz",
@@ -106,4 +200,7 @@ def test_marks_of_deep_items():
     page = "".join(f"<ol start={n}><li>i{n}" for n in range(1, 61))
     lines = visible_text(page).split("\n")
     assert [line.split() for line in lines] == [[f"{n}.", f"i{n}"] for n in range(1, 61)]
-    assert len({line.index(".") for line in lines[40:]}) == 1
+    places = [line.index(".") for line in lines]
+    assert places == sorted(set(places))  # every level stands further in
+    deep = visible_text("<ul><li>" * 600 + "x").split("\n")[-1]
+    assert deep.endswith("- x") and len(deep) == 2 * 512 + 1
