@@ -2,8 +2,8 @@
 
 Every word is the bag of its n-grams and itself, each n-gram an embedding. The
 embeddings of a passage of a few words are averaged and go through a linear
-softmax of two classes; a text is as toxic as its most toxic passage, so that
-length does not dilute it. Embeddings and softmax are trained together in
+softmax of two classes; a text is as toxic as its most toxic passage, wherever
+it begins, so that length does not dilute it. Embeddings and softmax are trained together in
 numpy. Misspelt and inflected forms share n-grams, so they score alike.
 """
 
@@ -101,7 +101,8 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
     """Embeddings and softmax from whole texts with one label each.
 
     The loss is that of a text's worst passage; its gradient goes to the
-    passages by how toxic they look. Embeddings begin at the log odds of their
+    passages by how toxic they look. Every step cuts the texts at other words;
+    in the end the bias is set for the worst of all passages. Embeddings begin at the log odds of their
     n-gram among the texts of either class, those of one text alone at zero.
     """
     model = Model(share=share)
@@ -109,16 +110,13 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
         model.bias[1] = np.clip(np.log(max(share, 1e-13) / max(1 - share, 1e-13)), -30, 30)
         return model
     index: dict[str, int] = {}
-    tokens, passages, starts = array("i"), array("i", [0]), []
+    tokens, ends = array("i"), []
     for text in texts:
-        starts.append(len(passages) - 1)
         words = array("i", (
             index.setdefault(word, len(index)) for block in words_of(text) for word in block
         )) or array("i", [index.setdefault("", len(index))])
         tokens += words
-        begin = passages[-1]
-        passages.extend(range(begin + PASSAGE_WORDS, begin + len(words), PASSAGE_WORDS))
-        passages.append(begin + len(words))
+        ends.append(len(tokens))
     n_words = len(index)
     word_of, gram_of = grams_of(list(index))
     by_word = np.argsort(word_of, kind="stable")
@@ -127,21 +125,17 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
     word_end = np.cumsum(sizes)
     begin_word = word_end - sizes
     del index, by_word
-    tokens, passages = np.asarray(tokens), np.asarray(passages)
-    begin = passages[:-1]
-    starts = np.array(starts)
-    passage_of_token = np.repeat(np.arange(len(begin), dtype=np.int32), np.diff(passages))
-    text_of_passage = np.repeat(
-        np.arange(len(starts), dtype=np.int32), np.diff(np.r_[starts, len(begin)])
-    )
-    held = np.add.reduceat(sizes[tokens], begin)
+    tokens, ends = np.asarray(tokens), np.array(ends)
+    firsts = np.r_[0, ends[:-1]]
+    token_sizes = sizes[tokens]
+    cuts = [_cut(firsts, ends, shift) for shift in range(PASSAGE_WORDS)]
     target = np.array(labels, np.float64)
     balance = np.where(target == 1, 0.5 / target.sum(), 0.5 / (1 - target).sum())
 
     # the texts of either class that have each n-gram, as smoothed log odds
     having = np.zeros((2, BUCKETS))
-    for text, (a, b) in enumerate(zip(starts, np.r_[starts[1:], len(begin)])):
-        own = np.unique(tokens[begin[a]:passages[b]])
+    for text, (a, b) in enumerate(zip(firsts, ends)):
+        own = np.unique(tokens[a:b])
         of_words = np.concatenate([gram_of[begin_word[word]:word_end[word]] for word in own])
         having[labels[text], np.unique(of_words)] += 1
     common = target.mean()
@@ -157,6 +151,10 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
     softmax, bias = np.stack([-way / 2, way / 2]), np.zeros(2)
     speed = [np.zeros_like(p) for p in (embeddings, softmax, bias)]
     for step in range(STEPS):
+        begin, starts = cuts[step % PASSAGE_WORDS]
+        lengths = np.diff(np.r_[begin, len(tokens)])
+        text_of_passage = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(begin)]))
+        held = np.add.reduceat(token_sizes, begin)
         way = softmax[1] - softmax[0]
         word_margin = np.add.reduceat((embeddings @ way)[gram_of], begin_word)
         logit = np.add.reduceat(word_margin[tokens], begin) / held + bias[1] - bias[0]
@@ -165,7 +163,7 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
         weight /= np.add.reduceat(weight, starts)[text_of_passage]
         error = (1 / (1 + np.exp(-np.clip(worst, -30, 30))) - target) * balance
         by_passage = error[text_of_passage] * weight
-        by_word = np.bincount(tokens, (by_passage / held)[passage_of_token], n_words)
+        by_word = np.bincount(tokens, np.repeat(by_passage / held, lengths), n_words)
         by_gram = np.bincount(gram_of, by_word[word_of], BUCKETS)
         toward = by_gram @ embeddings
         grads = [
@@ -176,9 +174,41 @@ def train(texts: list[str], labels: list[int], share: float) -> Model:
         for at, (param, grad) in enumerate(zip((embeddings, softmax, bias), grads)):
             speed[at] = 0.8 * speed[at] - LEARNING_RATE * grad
             param += speed[at]
+    word_margin = np.add.reduceat((embeddings @ (softmax[1] - softmax[0]))[gram_of], begin_word)
+    worst = np.array([
+        _worst(word_margin[tokens[a:b]], token_sizes[a:b]) for a, b in zip(firsts, ends)
+    ])
+    bias = _balanced(worst, target, balance, bias[1] - bias[0])
     return Model(*(p.astype(np.float32) for p in (embeddings, softmax, bias)), share=share)
 
 
+def _cut(firsts: np.ndarray, ends: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where passages begin if texts are cut `shift` words later, and each text's first passage."""
+    parts = [np.r_[a:a + 1, a + (shift or PASSAGE_WORDS):b:PASSAGE_WORDS] for a, b in zip(firsts, ends)]
+    return np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
+
+
+def _worst(sums: np.ndarray, sizes: np.ndarray) -> float:
+    """The largest mean of a passage: every PASSAGE_WORDS words in a row, or all if there are fewer."""
+    if len(sums) <= PASSAGE_WORDS:
+        return float(sums.sum() / sizes.sum())
+    totals = [np.cumsum(np.r_[0.0, values]) for values in (sums, sizes)]
+    over, under = (total[PASSAGE_WORDS:] - total[:-PASSAGE_WORDS] for total in totals)
+    return float((over / under).max())
+
+
+def _balanced(worst: np.ndarray, target: np.ndarray, balance: np.ndarray, start: float) -> np.ndarray:
+    """The biases under which the worst passages are told apart best."""
+    shift = start
+    for _ in range(STEPS):
+        chance = 1 / (1 + np.exp(-np.clip(worst + shift, -30, 30)))
+        slope = (balance * chance * (1 - chance)).sum()
+        if slope < 1e-9:
+            break
+        shift -= np.clip((balance * (chance - target)).sum() / slope, -1, 1)
+    return np.array([-shift / 2, shift / 2])
+
+
 class _Words(dict):
     """Numbers of words; `sums` and `sizes` have their n-grams by number."""
 
@@ -210,14 +240,17 @@ class Scorer:
         """The score of each text: 0 to 1, the share of class 1 if it has no word."""
         out, words = [], self.words
         for text in texts:
-            worst = -np.inf
+            worst, sums, sizes = -np.inf, np.zeros(0), np.zeros(0)
             for block in words_of(text or ""):
                 for at in range(0, len(block), BLOCK_WORDS):
                     numbers = words.numbers(block[at:at + BLOCK_WORDS])
-                    starts = np.arange(0, len(numbers), PASSAGE_WORDS)
-                    sums = np.add.reduceat(words.sums[numbers], starts)
-                    sizes = np.add.reduceat(words.sizes[numbers], starts)
-                    worst = max(worst, float((sums / sizes).max()))
+                    # the last words of the block before go on into this one
+                    sums = np.r_[sums[1 - PASSAGE_WORDS:], words.sums[numbers]]
+                    sizes = np.r_[sizes[1 - PASSAGE_WORDS:], words.sizes[numbers]]
+                    if len(sums) >= PASSAGE_WORDS:
+                        worst = max(worst, _worst(sums, sizes))
+            if worst == -np.inf and len(sums):
+                worst = _worst(sums, sizes)
             out.append(
                 self.share if worst == -np.inf
                 else 1 / (1 + np.exp(-np.clip(worst + self.bias, -30, 30)))

@@ -56,6 +56,37 @@ def test_long_text_in_blocks(model, monkeypatch):
     assert np.allclose(Scorer(model.margins(), *parts).scores(texts), whole)
 
 
+def plain_score(model, text):
+    """By the definition: every passage from the embeddings of its n-grams, through the softmax."""
+    words = [word for block in toxicity.words_of(text) for word in block]
+    if not words:
+        return model.share
+    bags = [toxicity.grams_of([word])[1] for word in words]
+    n = min(toxicity.PASSAGE_WORDS, len(words))
+    best = 0.0
+    for at in range(len(words) - n + 1):
+        mean = model.embeddings[np.concatenate(bags[at:at + n])].astype(float).mean(axis=0)
+        row = np.exp(model.softmax.astype(float) @ mean + model.bias)
+        best = max(best, row[1] / row.sum())
+    return best
+
+
+def test_plain_scores(model):
+    texts = [text[:600] for _, text, *_ in corpus()[0][:25]] + ["", "a", "a Grumblor b", "x " * 30 + "vexling"]
+    parts = float(model.bias[1] - model.bias[0]), model.share
+    assert np.allclose(
+        Scorer(model.margins(), *parts).scores(texts), [plain_score(model, t) for t in texts], atol=1e-4)
+
+
+def test_words_in_front_turn_nothing_clean(model):
+    scorer = Scorer(model.margins(), float(model.bias[1] - model.bias[0]), model.share)
+    docs, labels = corpus(80)
+    texts = [text for _, text, *_ in docs]
+    before = scorer.scores(texts)
+    for front in ("well", "well then", "one two three"):
+        assert (scorer.scores([f"{front} {text}" for text in texts]) >= before - 1e-6).all()
+
+
 def test_odd_rows(spark, model):
     data = [(None, None, None, None), (1, "", "x", 1.0), (1, "", "x", 1.0), (2, "grumblor " * 50_000, "", 0.0),
             (3, "!!! ...", "", 0.0)]
