@@ -2,14 +2,11 @@
 
 A sketch keeps every shingle hash below a fixed fraction of all hashes, so its
 size follows the text and sketches of very unequal texts compare without bias:
-the share of the smaller sketch found in the larger is its containment. The
-fraction is the whole: passages of a few words have a handful of shingles, and
-any lesser share of them is often none. So containment is that of the shingles
-themselves, and the sketch of two texts together is the union of their sketches.
-
-A fraction above one makes sketches smaller and containment an estimate. The
-least hash is kept then even if it lies above the limit, so that short texts
-have one as well; such a sketch only compares with others of its kind.
+the share of the smaller sketch found in the larger is its containment. A text
+with few hashes below that limit keeps its least ones up to a fixed number and
+records the limit that they stand for; a text of no more shingles keeps all.
+Two sketches are compared below the lower of their two limits, where both are
+complete, and so are merged ones.
 
 DataFrame functions only.
 """
@@ -23,7 +20,9 @@ from ..functions.arrays import let
 from .common import stored, whole_text
 
 SHINGLE_WORDS = 5
-FRACTION = 1  # one hash in so many is kept
+FRACTION = 4  # one hash in so many is kept
+LEAST = 128  # hashes that a text keeps at least, if it has them
+HIGHEST = (1 << 63) - 1
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
@@ -41,34 +40,58 @@ def shingle_hashes(text: Column, words: int = SHINGLE_WORDS) -> Column:
     return F.when(trimmed == "", F.array().cast("array<long>")).otherwise(shingles)
 
 
-def sketch(text: Column, words: int = SHINGLE_WORDS, fraction: int = FRACTION) -> Column:
-    """The distinct hashes kept of a text, ascending; empty for a text without words."""
-    if fraction == 1:
-        return F.sort_array(F.array_distinct(shingle_hashes(text, words)))
-    limit = -(1 << 63) + (1 << 64) // fraction
-    return let(shingle_hashes(text, words), lambda own: let(
-        F.sort_array(F.array_distinct(F.filter(own, lambda value: value < F.lit(limit)))),
-        lambda kept: F.when((F.size(kept) > 0) | (F.size(own) == 0), kept)
-        .otherwise(F.array(F.array_min(own))),
-    ))
+def sketch(
+    text: Column, words: int = SHINGLE_WORDS, fraction: int = FRACTION, least: int = LEAST
+) -> Column:
+    """The limit of a text's sketch and its distinct hashes up to it, ascending.
+
+    A text without words has the highest limit and no hash.
+    """
+    fixed = F.lit(-(1 << 63) + (1 << 64) // fraction - 1 if fraction > 1 else HIGHEST)
+
+    def kept(own: Column) -> Column:
+        lowest = F.coalesce(F.try_element_at(own, F.lit(least)), F.lit(HIGHEST))
+        return let(F.greatest(fixed, lowest), lambda limit: F.struct(
+            limit.alias("limit"), F.filter(own, lambda value: value <= limit).alias("hashes")
+        ))
+
+    return let(F.sort_array(F.array_distinct(shingle_hashes(text, words))), kept)
+
+
+def _below(one: Column, limit: Column) -> Column:
+    return F.filter(one["hashes"], lambda value: value <= limit)
 
 
 def merged(left: Column, right: Column) -> Column:
-    """The sketch of two texts' shingles together."""
-    return F.sort_array(F.array_union(left, right))
+    """The sketch of two texts' shingles together, below the lower of the two limits."""
+    return let(F.least(left["limit"], right["limit"]), lambda limit: F.struct(
+        limit.alias("limit"),
+        F.sort_array(F.array_union(_below(left, limit), _below(right, limit))).alias("hashes"),
+    ))
 
 
 def containment(left: Column, right: Column) -> Column:
-    """The share of the smaller sketch that the larger has; two empty ones are alike."""
-    least = F.least(F.size(left), F.size(right))
-    return F.when(least > 0, F.size(F.array_intersect(left, right)) / least).otherwise(
-        (F.size(left) == F.size(right)).cast("double")
-    )
+    """The share of the smaller sketch that the larger has, below the lower of the two limits.
+
+    Two texts without words are alike; a text that has no hash there is not.
+    """
+    def share(both: Column) -> Column:
+        least = F.least(F.size(both["l"]), F.size(both["r"]))
+        nothing = (F.size(left["hashes"]) == 0) & (F.size(right["hashes"]) == 0)
+        return F.when(least > 0, F.size(F.array_intersect(both["l"], both["r"])) / least).otherwise(
+            nothing.cast("double")
+        )
+
+    limit = F.least(left["limit"], right["limit"])
+    return let(F.struct(_below(left, limit).alias("l"), _below(right, limit).alias("r")), share)
 
 
-def written(kept: Column) -> Column:
-    """A sketch as text: its hashes in 16 hex digits each, one after the other."""
-    return F.array_join(F.transform(kept, lambda value: F.lpad(F.lower(F.hex(value)), 16, "0")), "")
+def written(one: Column) -> Column:
+    """A sketch as text: its limit and its hashes in 16 hex digits each, one after the other."""
+    return F.array_join(F.transform(
+        F.array_prepend(one["hashes"], one["limit"]),
+        lambda value: F.lpad(F.lower(F.hex(value)), 16, "0"),
+    ), "")
 
 
 def followers(keys: DataFrame) -> DataFrame:
@@ -107,8 +130,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has its last floor(n_chars / 3) code points replaced by as
     many of the beginning of the next document (all, if it has fewer), in
     descending doc_id; the last document is followed by the first. Columns:
-    doc_id, n_chars, edited, fingerprint and edited_fingerprint (arrays of
-    long), near_edited and near_next (containment of the sketches).
+    doc_id, n_chars, edited, fingerprint and edited_fingerprint (structs of limit
+    and hashes), near_edited and near_next (containment of the sketches).
 
     Rows with one doc_id but other texts follow each other by text hash; rows
     equal in both are one document with one next. NULL texts are empty, NULL
@@ -132,23 +155,22 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         F.floor(F.col("n_chars") / 3).cast("int").alias("cut"),
         F.col("next_key").alias("key"), F.col("next_tie").alias("tie"),
     )
-    # the text that a document gives to the one before it; its equal rows give the same.
-    # Texts pack better than their hashes, so the sketch is taken where it is compared.
+    # what a document gives to the one before it: the beginning that replaces the other's
+    # end, and its sketch. Its equal rows give the same.
     given = (
         base.join(pairs, ["key", "tie"])
-        .select(F.col("own_key").alias("key"), F.col("own_tie").alias("tie"), "cut",
-                F.col("text").alias("next_text"))
+        .select(F.col("own_key").alias("key"), F.col("own_tie").alias("tie"),
+                F.expr("left(text, cut)").alias("head"), sketch(F.col("text")).alias("next_sketch"))
         .groupBy("key", "tie")
-        .agg(F.first("next_text").alias("next_text"), F.first("cut").alias("cut"))
+        .agg(F.first("head").alias("head"), F.first("next_sketch").alias("next_sketch"))
     )
     n_chars = F.length("text")
     kept_chars = (n_chars - F.floor(n_chars / 3)).cast("int")
     both = base.join(given, ["key", "tie"]).select(
         F.when(F.col("tie").bitwiseAND(1) == 0, F.col("key")).alias("doc_id"),
         n_chars.cast("long").alias("n_chars"),
-        F.concat(F.substring(F.col("text"), F.lit(1), kept_chars), F.expr("left(next_text, cut)"))
-        .alias("edited"),
-        sketch(F.col("text")).alias("fingerprint"), sketch(F.col("next_text")).alias("next_sketch"),
+        F.concat(F.substring(F.col("text"), F.lit(1), kept_chars), F.col("head")).alias("edited"),
+        sketch(F.col("text")).alias("fingerprint"), "next_sketch",
     )
     return both.withColumn("edited_fingerprint", sketch(F.col("edited"))).select(
         "doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint",

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tallyweave.llm.fingerprints import (
-    FRACTION, containment, edited_fingerprints, followers, merged, sketch, written,
+    FRACTION, LEAST, containment, edited_fingerprints, followers, merged, sketch, written,
 )
 
 SCHEMA = "doc_id long, text string, tie string, n_chars long"
@@ -26,19 +26,23 @@ def plain_sketch(text, words=5):
         for word in own[i:i + words]:
             value = xxhash.xxh64_intdigest(word.encode(), value)
         hashes.add(signed(value))
-    kept = {h for h in hashes if h + 2**63 < 2**64 // FRACTION}
-    return sorted(kept or ({min(hashes)} if hashes else set()))
+    own = sorted(hashes)
+    limit = -2**63 + 2**64 // FRACTION - 1
+    limit = max(limit, own[LEAST - 1] if len(own) >= LEAST else 2**63 - 1)
+    return limit, [h for h in own if h <= limit]
 
 
 def alike(a, b):
-    least = min(len(a), len(b))
-    return len(set(a) & set(b)) / least if least else float(len(a) == len(b))
+    limit = min(a[0], b[0])
+    left, right = ({h for h in own[1] if h <= limit} for own in (a, b))
+    least = min(len(left), len(right))
+    return len(left & right) / least if least else float(not a[1] and not b[1])
 
 
 def sample():
     pick = random.Random(13)
     words = ["über", "a", "b", "日本", "𝔘", "\x0b", "c\n", "  ", "d\te"]
-    data = [(i, " ".join(pick.choices(words, k=pick.randint(0, 60))), "x", 1) for i in range(0, 240, 2)]
+    data = [(i, " ".join(pick.choices(words, k=pick.choice([5, 60, 900]))), "x", 1) for i in range(0, 120, 2)]
     return [*data, (301, "", "x", 1), (302, None, "x", 1), (303, " \n ", None, None), (304, "one two", "x", 1),
             (305, "word " * 50_000, "x", 1)]
 
@@ -78,14 +82,17 @@ def test_followers(spark, n):
 
 
 def test_merging(spark):
-    a, b = "a b c d e f g h i j " * 3, "x y z w v u t s " * 4
+    pick = random.Random(16)
+    a, b = (" ".join(str(pick.random()) for _ in range(n)) for n in (40, 2_000))
     df = spark.createDataFrame([(a, b)], "a string, b string").select(
         sketch(F.col("a")).alias("a"), sketch(F.col("b")).alias("b"))
     row = df.select(merged(F.col("a"), F.col("b")).alias("both"), containment(F.col("a"), F.col("b")).alias("near"),
                     written(F.col("a")).alias("text")).first()
-    assert row.both == sorted({*plain_sketch(a), *plain_sketch(b)})
+    own, other = plain_sketch(a), plain_sketch(b)
+    limit = min(own[0], other[0])
+    assert tuple(row.both) == (limit, sorted(h for h in {*own[1], *other[1]} if h <= limit))
     assert row.near == 0.0
-    assert row.text == "".join(f"{h % 2**64:016x}" for h in plain_sketch(a))
+    assert row.text == "".join(f"{h % 2**64:016x}" for h in [own[0], *own[1]])
 
 
 def test_likeness_estimates(spark):
@@ -100,19 +107,26 @@ def shingles(text, words=5):
     return {tuple(own[i:i + words]) for i in range(max(len(own) - words + 1, 1) if own else 0)}
 
 
-def test_short_passages_are_exact(spark):
+def test_error_of_estimates(spark):
+    """Exact up to LEAST shingles on both sides; above, the mean error falls with the shorter text."""
     pick = random.Random(15)
     words = ["".join(pick.choices("abcdehilmnoprstu", k=4)) for _ in range(3000)]
     data = []
-    for n in [1, 3, 5, 8, 12, 20] * 20:
-        text = pick.choices(words, k=400)
-        at = pick.randrange(len(text) - n + 1)
-        other = pick.choices(words, k=n // 2) + text[at:at + n]
-        data += [(" ".join(text), " ".join(text[at:at + n])), (" ".join(text), " ".join(other))]
+    for long in (60, 400, 4_000):
+        for n in [8, 20, 60, 200, 400] * 12:
+            text = pick.choices(words, k=long)
+            at = pick.randrange(max(1, len(text) - n + 1))
+            own = text[at:at + n]
+            data.append((" ".join(text), " ".join(pick.choices(words, k=n // 2) + own), long, n))
     near = containment(sketch(F.col("a")), sketch(F.col("b")))
-    got = spark.createDataFrame(data, "a string, b string").select("a", "b", near.alias("near")).collect()
-    assert len(got) == len(data)
+    got = spark.createDataFrame(data, "a string, b string, long int, n int").withColumn("near", near).collect()
+    errors = {}
     for row in got:
         own, other = shingles(row.a), shingles(row.b)
-        assert row.near == len(own & other) / min(len(own), len(other))
-    assert all(row.near == 1.0 for row in got if len(row.b.split()) in (8, 20) and row.b in row.a)
+        error = abs(row.near - len(own & other) / min(len(own), len(other)))
+        errors.setdefault((row.long, row.n), []).append(error)
+        if max(len(own), len(other)) < LEAST:
+            assert error == 0
+    mean = {key: sum(some) / len(some) for key, some in errors.items()}
+    print({key: round(value, 3) for key, value in sorted(mean.items())})
+    assert mean[400, 200] < 0.12 and mean[4_000, 400] < 0.12 and mean[400, 400] < 0.1
