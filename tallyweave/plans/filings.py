@@ -193,7 +193,7 @@ def _role_rows() -> str:
         FROM facts WHERE {test}"""
         for role, test in tests.items()
     )
-    return f"WITH {roles.FACTS}, views AS ({views})"
+    return f"WITH {roles.FACTS}, views AS MATERIALIZED ({views})"
 
 
 def concept_view(spark: SparkSession, folder: str) -> DataFrame:
