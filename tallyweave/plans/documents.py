@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import documents as dc
+from ..operators import languages as lg
 from ..sources.tables import parquet_table
 from . import html_sql as hs
 
@@ -98,6 +99,23 @@ def numeric_line_filter(spark: SparkSession, folder: str) -> DataFrame:
     return english.select("doc_id", tx.drop_numeric_lines("text").alias("text"))
 
 
+def _told(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _documents(spark, folder)
+    return lg.told_languages(documents, "doc_id", "text", lg.profiles(documents, "text"))
+
+
+def language_told(spark: SparkSession, folder: str) -> DataFrame:
+    """The language that every document's own text tells."""
+    return _told(spark, folder)
+
+
+def told_line_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines kept of documents whose text is English, whatever their column says."""
+    english = _told(spark, folder).filter("told = 'en'").select("doc_id")
+    return _documents(spark, folder).join(english, "doc_id").select(
+        "doc_id", tx.drop_numeric_lines("text").alias("text"))
+
+
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
     cut = _documents(spark, folder).select(
         "doc_id", F.posexplode(tx.sentences("text")).alias("pos", "sentence")
@@ -151,6 +169,36 @@ _PLAIN = "replace(replace(replace(text, '\"', ''), '\\n', ' '), '\\', '')"
 
 _PARTS = hs.document_parts(TABLE_TAG)
 
+_KEPT_LINES = """
+        array_to_string(list_filter(string_split(text, chr(10)), lambda line: NOT (
+            coalesce(len(regexp_extract_all(line, '[^ \\t\\r\\f0-9]*[0-9][^ \\t\\r\\f]*'))
+                / NULLIF(len(regexp_extract_all(line, '[^ \\t\\r\\f]+')), 0) > 0.4, false)
+            AND NOT ends_with(rtrim(translate(line, chr(9) || chr(13) || chr(12), '   ')), '.'))),
+            chr(10))"""
+
+_TOLD = f"""
+    words AS (
+        SELECT doc_id, lang, unnest(regexp_extract_all(lower(coalesce(text, '')), '\\pL{{1,{lg.LONGEST}}}')) AS word
+        FROM documents),
+    grams AS (
+        SELECT doc_id, lang, substring('_' || word || '_', start, {lg.SIZE}) AS gram
+        FROM (SELECT *, unnest(range(1, length(word) + 1)) AS start FROM words)),
+    lists AS (
+        SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, gram) AS place
+        FROM (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY ALL)
+        QUALIFY place <= {lg.PLACES}),
+    known AS (
+        SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS place
+        FROM (SELECT lang, gram, count(*) AS n FROM grams WHERE lang IS NOT NULL GROUP BY ALL)
+        QUALIFY place <= {lg.PLACES}),
+    distances AS (
+        SELECT l.doc_id, n.lang, sum(coalesce(abs(l.place - k.place), {lg.PLACES})) AS distance
+        FROM lists l CROSS JOIN (SELECT DISTINCT lang FROM known) n
+        LEFT JOIN known k ON k.lang = n.lang AND k.gram = l.gram GROUP BY ALL),
+    told AS (
+        SELECT doc_id, lang AS told, CAST(distance AS BIGINT) AS distance FROM distances
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY distance, lang) = 1)"""
+
 QUERIES = {
     "filter_contains": (filter_contains,
                         "SELECT page_id, url FROM pages WHERE contains(url, 'page=')"),
@@ -193,13 +241,11 @@ QUERIES = {
                md5({hs.each("trim(" + hs.each("text", "[ \\t\\r\\f]*\\n[ \\t\\r\\f]*", chr(10)) + ")",
                             "\\n{3,}", chr(10) + chr(10))}) AS tidy_md5
         FROM documents"""),
-    "numeric_line_filter": (numeric_line_filter, """
-        SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda line: NOT (
-            coalesce(len(regexp_extract_all(line, '[^ \\t\\r\\f0-9]*[0-9][^ \\t\\r\\f]*'))
-                / NULLIF(len(regexp_extract_all(line, '[^ \\t\\r\\f]+')), 0) > 0.4, false)
-            AND NOT ends_with(rtrim(translate(line, chr(9) || chr(13) || chr(12), '   ')), '.'))),
-            chr(10)) AS text
-        FROM documents WHERE lang = 'en'"""),
+    "numeric_line_filter": (numeric_line_filter, f"""
+        SELECT doc_id, {_KEPT_LINES} AS text FROM documents WHERE lang = 'en'"""),
+    "language_told": (language_told, f"WITH {_TOLD} SELECT doc_id, told, distance FROM told"),
+    "told_line_filter": (told_line_filter, f"""WITH {_TOLD}
+        SELECT doc_id, {_KEPT_LINES} AS text FROM documents JOIN told USING (doc_id) WHERE told = 'en'"""),
     "sentences": (sentences, f"WITH {_SENTENCES} SELECT doc_id, pos, sentence FROM cut"),
     "sentence_ids": (sentence_ids, f"""WITH {_SENTENCES}
         SELECT 99 + row_number() OVER (ORDER BY doc_id, pos) AS id, doc_id AS title,

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import prompts as pr
+from ..operators import cells as ce
 from ..operators import documents as dc
+from ..operators import keyword as kw
 from ..operators import retrieval as rt
 from ..session import scratch_path
 from ..sources.tables import parquet_table
@@ -15,6 +19,10 @@ from .upkeep import _contents
 K = 4
 FEATURES = 1_024
 SYNC_FEATURES = 256
+# The vectors of the tests lie evenly in all directions, so that cells tell little
+# and most of them have to be looked into; the share of the exact hits found is 0.9 or more.
+PROBED, CANDIDATES = 0.9, 100
+FUSED = 20  # hits of each search that are fused
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,20 +63,48 @@ def vector_topk_filtered(spark: SparkSession, folder: str) -> DataFrame:
     return rt.with_columns_of(hits, vectors, "label")
 
 
-def _found(spark: SparkSession, folder: str, questions: DataFrame, column: str) -> DataFrame:
-    """The nearest of all documents to every question; one model makes both sides' vectors."""
-    passages = _passages(spark, folder)
-    model = rt.text_model(passages.select("content"), "content", FEATURES)
+def vector_near(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest other vectors by cells and codes."""
+    vectors = _vectors(spark, folder)
+    model = ce.fit_cells(vectors)
+    probes = math.ceil(len(model.centres) * PROBED)
+    return ce.near_top_k(
+        ce.cell_index(vectors, model), vectors, _probes(spark, folder), model, K + 1, probes,
+        CANDIDATES, skip_same=True,
+    )
+
+
+def _by_keyword(spark: SparkSession, folder: str, k: int) -> DataFrame:
+    return kw.keyword_top_k(kw.inverted_index(_passages(spark, folder)), _questions(spark, folder), k)
+
+
+def keyword_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that say best what every question says."""
+    return _by_keyword(spark, folder, K)
 
-    def vectors(texts: DataFrame, key: str, text: str) -> DataFrame:
-        return rt.text_vectors(
-            model, texts.select(key, F.col(text).alias("content")), "float64"
-        ).select(key, "vector")
 
-    hits = rt.top_k(
-        vectors(passages, "passage_id", "content"), vectors(questions, "query_id", column), K
+def hybrid_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """Every question's documents by keywords and by vectors, fused."""
+    near = _near_texts(spark, folder, _questions(spark, folder), "question", FUSED)
+    return kw.fused(_by_keyword(spark, folder, FUSED), near, k=K)
+
+
+def _near_texts(
+    spark: SparkSession, folder: str, questions: DataFrame, column: str, k: int
+) -> DataFrame:
+    """The nearest of all documents to every question; one model makes both sides' vectors."""
+    model, vectors = rt.model_and_vectors(
+        _passages(spark, folder), "passage_id", "content", FEATURES, kind="float64"
     )
-    return rt.with_columns_of(hits, passages, "content", "source")
+    asked = rt.text_vectors(
+        model, questions.select("query_id", F.col(column).alias("content")), "float64"
+    ).select("query_id", "vector")
+    return rt.top_k(vectors, asked, k, width=FEATURES)
+
+
+def _found(spark: SparkSession, folder: str, questions: DataFrame, column: str) -> DataFrame:
+    hits = _near_texts(spark, folder, questions, column, K)
+    return rt.with_columns_of(hits, _passages(spark, folder), "content", "source")
 
 
 def _hits(spark: SparkSession, folder: str) -> DataFrame:
@@ -203,8 +239,8 @@ def _weights(vectors: DataFrame, *keys: str) -> DataFrame:
 
 def text_vectors(spark: SparkSession, folder: str) -> DataFrame:
     documents = parquet_table(spark, folder, "documents").select("doc_id", "text")
-    model = rt.text_model(documents, "text", FEATURES)
-    return _weights(rt.text_vectors(model, documents, "float64"), "doc_id")
+    _, vectors = rt.model_and_vectors(documents, "doc_id", "text", FEATURES, kind="float64")
+    return _weights(vectors, "doc_id")
 
 
 def index_sync(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,7 +298,7 @@ def _word_weights(name: str, texts: str, fitted: str, features: int) -> str:
         FROM {name}_raw WHERE weight <> 0)"""
 
 
-def _text_hits(asked: str) -> str:
+def _text_hits(asked: str, k: int = K) -> str:
     """Hits of `asked` (id, content) among all documents."""
     documents = "SELECT doc_id AS id, text AS content FROM documents"
     return f"""
@@ -276,7 +312,7 @@ def _text_hits(asked: str) -> str:
     {_ranked(f"""
         SELECT q.id AS query_id, p.passage_id, round(coalesce(score, 0), 9) AS score
         FROM ({asked}) q CROSS JOIN passages p
-        LEFT JOIN products s ON s.query_id = q.id AND s.passage_id = p.passage_id""", K)}"""
+        LEFT JOIN products s ON s.query_id = q.id AND s.passage_id = p.passage_id""", k)}"""
 
 
 _HITS = f"""
@@ -290,6 +326,33 @@ _GATHERED = """
 _CONTEXTS = f"{_HITS},{_GATHERED}"
 
 
+_KEYWORD_SCORES = f"""
+    terms AS (
+        SELECT doc_id AS passage_id, unnest(list_filter(regexp_split_to_array(
+                   lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda w: w <> '')) AS term
+        FROM documents),
+    term_counts AS (SELECT passage_id, term, count(*) AS n FROM terms GROUP BY ALL),
+    sizes AS (SELECT passage_id, sum(n) AS length FROM term_counts GROUP BY ALL),
+    whole AS (SELECT (SELECT count(*) FROM documents) AS total,
+                     (SELECT sum(n) FROM term_counts) / (SELECT count(*) FROM documents) AS mean),
+    rarities AS (SELECT term, ln(1 + (any_value(total) - count(*) + 0.5) / (count(*) + 0.5)) AS rarity
+                 FROM term_counts, whole GROUP BY term),
+    asked_terms AS (
+        SELECT DISTINCT item_id AS query_id, unnest(list_filter(regexp_split_to_array(
+                   lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda w: w <> '')) AS term
+        FROM benchmark),
+    keyword_scores AS (
+        SELECT query_id, passage_id,
+               round(sum(rarity * n * {kw.REPEATS + 1}
+                         / (n + {kw.REPEATS} * (1 - {kw.LENGTH} + {kw.LENGTH} * length / mean))), 9) AS score
+        FROM asked_terms JOIN term_counts USING (term) JOIN sizes USING (passage_id)
+        JOIN rarities USING (term), whole GROUP BY ALL)"""
+_KEYWORD_HITS = f"""{_KEYWORD_SCORES},
+    keyword_hits AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, passage_id) AS rank
+        FROM keyword_scores)"""
+
+
 def _filled(template: str, **slots: str) -> str:
     """The template as a SQL text with expressions in its slots."""
     text = "'" + template.replace("'", "''") + "'"
@@ -323,6 +386,19 @@ QUERIES = {
     "vector_topk_filtered": (vector_topk_filtered, f"""WITH {_STORED},
         {_near("c.label = 3", 5)}
         SELECT query_id, passage_id, score, rank, label FROM hits"""),
+    "vector_near": (vector_near, None),
+    "keyword_topk": (keyword_topk, f"""WITH {_KEYWORD_HITS}
+        SELECT query_id, passage_id, score, rank FROM keyword_hits WHERE rank <= {K}"""),
+    "hybrid_topk": (hybrid_topk, f"""WITH {_KEYWORD_HITS},
+        {_text_hits("SELECT item_id AS id, text AS content FROM benchmark", FUSED)},
+        shares AS (
+            SELECT query_id, passage_id, round(sum(1 / ({kw.FUSION} + rank)), 9) AS score FROM (
+                SELECT query_id, passage_id, rank FROM hits
+                UNION ALL SELECT query_id, passage_id, rank FROM keyword_hits WHERE rank <= {FUSED})
+            GROUP BY ALL)
+        SELECT query_id, passage_id, score, rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, passage_id) AS rank
+            FROM shares) WHERE rank <= {K}"""),
     "rag_context": (rag_context, f"WITH {_CONTEXTS} SELECT * FROM contexts"),
     "prompt_fill": (prompt_fill, f"WITH {_PROMPTS} SELECT query_id, prompt FROM prompts"),
     "rag_eval": (rag_eval, f"""WITH {_PROMPTS}

@@ -24,9 +24,9 @@ def _fresh(spark: SparkSession, purpose: str) -> str:
 
 
 def table_save(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders of status F and P saved as a table in partitions."""
+    """All orders saved as a table in one piece."""
     name = _fresh(spark, "saved")
-    up.create_table(cases._old_orders(spark, folder), name, ["o_orderstatus"])
+    up.create_table(parquet_table(spark, folder, "orders"), name)
     return tb.scan_table(spark, name)
 
 
@@ -120,7 +120,7 @@ def header_titles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "table_save": (table_save, f"WITH {cases._ORDERS} SELECT * FROM old"),
+    "table_save": (table_save, "SELECT * FROM orders"),
     "table_save_all": (table_save_all, "SELECT * EXCLUDE (o_orderstatus), o_orderstatus FROM orders"),
     "table_replace": (table_replace, cases.QUERIES["merge_upsert"][1]),
     "table_widen": (table_widen, cases.QUERIES["schema_merge_union"][1]),
