@@ -39,7 +39,7 @@ SCALE = 2_000_000
 INSIDE = (80, 100)  # a phrase goes if a longer one around it has this share of its places
 UNKNOWN = "und"
 TRIE_PHRASES = 1_000_000  # phrases that one trie holds; it is what goes to all tasks
-POSITIONS = 4_000_000  # text positions that a task looks at together
+POSITIONS = 2_000_000  # text positions that a task looks at together
 COUNTED = 200_000  # distinct words that a task counts before it hands them on
 BREAK = b"."
 
@@ -76,7 +76,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts[lang].update(tokens_of(text))
-                if sum(map(len, counts.values())) > COUNTED:
+                if len(counts[lang]) * len(counts) > COUNTED:
                     yield from out(counts)
                     counts.clear()
         yield from out(counts)
@@ -101,27 +101,28 @@ class Shard:
             np.column_stack([heads, numbers.reshape(-1, depth)]), max(len(self.langs), len(self.words))
         )
 
-    def found(self, langs: list[str], tokens: list[list[bytes]]) -> np.ndarray:
-        """The phrase that begins at each position, or -1; one position more after every text."""
-        parts, heads = [], []
-        for lang, own in zip(langs, tokens):
-            numbers = np.full(len(own) + 1, -1, np.int32)
-            head = self.langs.get(lang, -1)
-            if head >= 0:
-                numbers[:-1] = np.fromiter(map(self.words.get, own, repeat(-1)), np.int32, len(own))
-            parts.append(numbers)
-            heads.append(np.full(len(own) + 1, head, np.int32))
-        return self.trie.accepted(np.concatenate(parts), self.depth, np.concatenate(heads))
+    def numbers(self, lang: str, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of a text's language and words, -1 for others and behind its last."""
+        head = self.langs.get(lang, -1)
+        numbers = np.full(len(tokens) + 1, -1, np.int32)
+        if head >= 0:
+            numbers[:-1] = np.fromiter(map(self.words.get, tokens, repeat(-1)), np.int32, len(tokens))
+        return np.full(len(tokens) + 1, head, np.int32), numbers
+
+    def found(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The phrase that begins at each position of the texts, one behind the other, or -1."""
+        heads, numbers = (np.concatenate(parts) for parts in zip(*texts))
+        return self.trie.accepted(numbers, self.depth, heads)
 
 
 def _pairs(first: Shard, second: Shard):
     """A function over Arrow batches that counts which phrase of `second` follows one of `first`."""
 
-    def counted(langs: list[str], tokens: list[list[bytes]]) -> Iterator[pa.RecordBatch]:
-        if not langs:
+    def counted(left_texts: list, right_texts: list) -> Iterator[pa.RecordBatch]:
+        if not left_texts:
             return
-        left = first.found(langs, tokens)
-        right = left if first is second else second.found(langs, tokens)
+        left = first.found(left_texts)
+        right = left if first is second else second.found(right_texts)
         at = np.flatnonzero((left[:-1] >= 0) & (right[1:] >= 0))
         codes, times = np.unique(left[at] * len(second.ids) + right[at + 1], return_counts=True)
         for begin in range(0, len(codes), 100_000):
@@ -133,16 +134,18 @@ def _pairs(first: Shard, second: Shard):
             )
 
     def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, tokens, positions = [], [], 0
+        left, right, positions = [], [], 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                langs.append(lang)
-                tokens.append(tokens_of(text))
-                positions += len(tokens[-1])
+                tokens = tokens_of(text)
+                left.append(first.numbers(lang, tokens))
+                if first is not second:
+                    right.append(second.numbers(lang, tokens))
+                positions += len(tokens)
                 if positions > POSITIONS:
-                    yield from counted(langs, tokens)
-                    langs, tokens, positions = [], [], 0
-        yield from counted(langs, tokens)
+                    yield from counted(left, right)
+                    left, right, positions = [], [], 0
+        yield from counted(left, right)
 
     return function
 

@@ -92,7 +92,7 @@ class Trie:
         digit at a time; those whose state has no such child drop out.
         """
         at = np.flatnonzero(symbols[:max(0, len(symbols) - depth + 1)] >= 0)
-        state = np.full(len(at), self.root, np.int64)
+        state = np.full(len(at), self.root, np.int32)
         for level in range(-1, depth):
             symbol = heads[at] if level < 0 else symbols[at + level]
             alive = symbol >= 0
