@@ -65,37 +65,42 @@ def grams_of(word: str, size: int) -> list[str]:
     return [marked[at:at + size] for at in range(len(marked) - size + 1)]
 
 
-def _counted(column: str, pieces) -> callable:
-    """A function over Arrow batches that sums `pieces` of each row by language."""
+def _counted(column: str, add) -> callable:
+    """A function over Arrow batches that counts by language; `add` counts one row into a counter."""
 
     def out(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         for lang, counter in counts.items():
-            for at in range(0, len(counter), 50_000):
-                items = list(islice(counter.items(), at, at + 50_000))
+            items = iter(counter.items())
+            while some := list(islice(items, 50_000)):
+                keys, times = zip(*some)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(items)), pa.array([item[0] for item in items]),
-                     pa.array([item[1] for item in items], pa.int64())], ["lang", column, "n"]
+                    [pa.array([lang] * len(some)), pa.array(keys, pa.string()),
+                     pa.array(times, pa.int64())], ["lang", column, "n"]
                 )
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, *row in zip(*(batch.column(at).to_pylist() for at in range(batch.num_columns))):
-                for some in pieces(*row):
-                    counts[lang].update(some)
-                    if sum(map(len, counts.values())) > COUNTED:
-                        yield from out(counts)
-                        counts.clear()
+                counter = counts[lang]
+                add(counter, *row)
+                if len(counter) * len(counts) > COUNTED:
+                    yield from out(counts)
+                    counts.clear()
         yield from out(counts)
 
     return counted
 
 
-def _grams(word: str, n: int) -> Iterator[dict[str, int]]:
+def _add_words(counter: Counter, text: str) -> None:
+    for words in words_of(text):
+        counter.update(words)
+
+
+def _add_grams(counter: Counter, word: str, n: int) -> None:
     for size in range(1, LONGEST_GRAM + 1):
-        for at in range(0, len(word) + 1, BLOCK_WORDS):
-            part = word if len(word) < BLOCK_WORDS else word[at:at + BLOCK_WORDS]
-            yield {gram: times * n for gram, times in Counter(grams_of(part, size)).items()}
+        for gram in grams_of(word, size):
+            counter[gram] += n
 
 
 def most_frequent(counts: DataFrame, by: list[str], most: int) -> DataFrame:
@@ -150,7 +155,7 @@ class Model:
     def of_unseen(self, word: str) -> np.ndarray | float:
         """The mean over the word's longest known n-grams; 0 if it has none."""
         for size in range(LONGEST_GRAM, 0, -1):
-            found = [self.grams[gram] for gram in grams_of(word, size) if gram in self.grams]
+            found = [at for at in map(self.grams.get, grams_of(word, size)) if at is not None]
             if found:
                 return self.gram_rows[found].mean(axis=0, dtype=np.float64)
         return 0.0
@@ -177,12 +182,12 @@ def fit(docs: DataFrame) -> Model:
     if not langs:
         return Model()
     words = stored(
-        known.mapInArrow(_counted("word", words_of), "lang string, word string, n long")
+        known.mapInArrow(_counted("word", _add_words), "lang string, word string, n long")
         .groupBy("lang", "word").agg(F.sum("n").alias("n")),
         "language-words",
     )
     grams = stored(
-        words.mapInArrow(_counted("gram", _grams), "lang string, gram string, n long")
+        words.mapInArrow(_counted("gram", _add_grams), "lang string, gram string, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
         .withColumn("size", F.length("gram")),
         "language-grams",
@@ -220,14 +225,17 @@ class Teller:
         self.rows[:len(model.words)] = model.word_rows
 
     def numbers(self, block: list[str]) -> list[int]:
-        index, known = self.index, len(self.model.words)
-        if len(index) > known + CACHED_WORDS:
-            index = self.index = dict(self.model.words)
-        for word in set(block):
-            if word not in index:
-                self.rows[len(index)] = self.model.of_unseen(word)
-                index[word] = len(index)
-        return list(map(index.__getitem__, block))
+        if len(self.index) > len(self.model.words) + CACHED_WORDS:
+            self.index = dict(self.model.words)
+        index = self.index
+        numbers = list(map(index.get, block))
+        if None in numbers:
+            for word, number in zip(block, numbers):
+                if number is None and word not in index:
+                    self.rows[len(index)] = self.model.of_unseen(word)
+                    index[word] = len(index)
+            numbers = list(map(index.__getitem__, block))
+        return numbers
 
     def tell(self, texts: Iterable[str | None]) -> tuple[list[str], list[float]]:
         """The language of each text and its probability under the model."""
