@@ -11,6 +11,7 @@ from ..functions import prompts as pr
 from ..operators import cells as ce
 from ..operators import documents as dc
 from ..operators import keyword as kw
+from ..operators import ranking as rk
 from ..operators import retrieval as rt
 from ..session import scratch_path
 from ..sources.tables import parquet_table
@@ -83,6 +84,13 @@ def keyword_topk(spark: SparkSession, folder: str) -> DataFrame:
     return _by_keyword(spark, folder, K)
 
 
+def keyword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """How well keyword search finds the documents that hold every question's text."""
+    questions = _questions(spark, folder)
+    held = rk.holders(_passages(spark, folder), questions)
+    return rk.measures(questions, _by_keyword(spark, folder, K), held, K)
+
+
 def hybrid_topk(spark: SparkSession, folder: str) -> DataFrame:
     """Every question's documents by keywords and by vectors, fused."""
     near = _near_texts(spark, folder, _questions(spark, folder), "question", FUSED)
@@ -347,6 +355,8 @@ _KEYWORD_SCORES = f"""
                          / (n + {kw.REPEATS} * (1 - {kw.LENGTH} + {kw.LENGTH} * length / mean))), 9) AS score
         FROM asked_terms JOIN term_counts USING (term) JOIN sizes USING (passage_id)
         JOIN rarities USING (term), whole GROUP BY ALL)"""
+_TERM_LINE = """' ' || array_to_string(list_filter(regexp_split_to_array(
+                   lower(coalesce(text, '')), '[^\\pL\\pN]+'), lambda w: w <> ''), ' ') || ' '"""
 _KEYWORD_HITS = f"""{_KEYWORD_SCORES},
     keyword_hits AS (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, passage_id) AS rank
@@ -389,6 +399,25 @@ QUERIES = {
     "vector_near": (vector_near, None),
     "keyword_topk": (keyword_topk, f"""WITH {_KEYWORD_HITS}
         SELECT query_id, passage_id, score, rank FROM keyword_hits WHERE rank <= {K}"""),
+    "keyword_quality": (keyword_quality, f"""WITH {_KEYWORD_HITS},
+        kept AS (
+            SELECT doc_id AS passage_id, {_TERM_LINE} AS line FROM documents),
+        asked AS (
+            SELECT item_id AS query_id, {_TERM_LINE} AS line FROM benchmark),
+        held AS (
+            SELECT query_id, passage_id FROM asked JOIN kept ON contains(kept.line, asked.line)
+            WHERE len(string_split(trim(asked.line), ' ')) >= {rk.ANCHOR}),
+        per AS (
+            SELECT query_id, count(*) AS n, count(rank) AS hit, min(rank) AS first_hit,
+                   coalesce(sum(1 / log2(rank + 1.0)), 0) AS gained
+            FROM held LEFT JOIN (SELECT query_id, passage_id, rank FROM keyword_hits WHERE rank <= {K})
+            USING (query_id, passage_id) GROUP BY query_id)
+        SELECT query_id, coalesce(n, 0) AS n_relevant, coalesce(hit, 0) AS n_found,
+               round(hit / n, 9) AS recall,
+               CASE WHEN n > 0 THEN round(coalesce(1 / first_hit, 0), 9) END AS reciprocal_rank,
+               CASE WHEN n > 0 THEN round(gained / list_sum(list_transform(
+                   range(1, least(n, {K}) + 1), lambda r: 1 / log2(r + 1.0))), 9) END AS ndcg
+        FROM asked LEFT JOIN per USING (query_id)"""),
     "hybrid_topk": (hybrid_topk, f"""WITH {_KEYWORD_HITS},
         {_text_hits("SELECT item_id AS id, text AS content FROM benchmark", FUSED)},
         shares AS (
