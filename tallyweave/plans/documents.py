@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import documents as dc
+from ..operators import edges as ed
 from ..operators import languages as lg
 from ..sources.tables import parquet_table
 from . import html_sql as hs
@@ -116,6 +117,11 @@ def told_line_filter(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", tx.drop_numeric_lines("text").alias("text"))
 
 
+def edge_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the header and footer lines of their source."""
+    return ed.without_edges(_documents(spark, folder), "doc_id", "text", "source")
+
+
 def sentences(spark: SparkSession, folder: str) -> DataFrame:
     cut = _documents(spark, folder).select(
         "doc_id", F.posexplode(tx.sentences("text")).alias("pos", "sentence")
@@ -199,6 +205,35 @@ _TOLD = f"""
         SELECT doc_id, lang AS told, CAST(distance AS BIGINT) AS distance FROM distances
         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY distance, lang) = 1)"""
 
+_EDGES = f"""
+    whole AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+    filled AS (
+        SELECT source, text, list_filter(
+            list_transform(string_split(text, chr(10)), lambda line, i: {{'at': i, 'line': regexp_replace(
+                trim(line, ' ' || chr(9) || chr(13) || chr(12)), '[0-9]+', '#', 'g')}}),
+            lambda l: l.line <> '') AS lines
+        FROM (SELECT DISTINCT source, text FROM whole)),
+    ends AS (
+        SELECT source, text, 'head' AS side, list_slice(lines, 1, {ed.EDGE}) AS lines FROM filled
+        UNION ALL SELECT source, text, 'foot',
+               list_slice(lines, greatest(len(lines) - {ed.EDGE}, 0) + 1, len(lines)) FROM filled),
+    runs AS (
+        SELECT source, text, side, start, length, lines[start].at AS first, lines[start + length - 1].at AS last,
+               array_to_string(list_transform(list_slice(lines, start, start + length - 1),
+                                              lambda l: l.line), chr(10)) AS run
+        FROM ends, range(1, {ed.EDGE + 1}) s(start), range(1, {ed.EDGE + 1}) n(length)
+        WHERE start + length - 1 <= len(lines)),
+    common AS (
+        SELECT source, side, run FROM (
+            SELECT source, side, run, count(DISTINCT text) AS n FROM runs GROUP BY ALL)
+        JOIN (SELECT source AS of, count(*) AS n_texts FROM filled GROUP BY ALL)
+            ON source IS NOT DISTINCT FROM of
+        WHERE n >= {ed.FEWEST} AND n * {ed.ONE_IN} >= n_texts),
+    longest AS (
+        SELECT r.* FROM runs r JOIN common c
+            ON r.source IS NOT DISTINCT FROM c.source AND r.side = c.side AND r.run = c.run
+        QUALIFY row_number() OVER (PARTITION BY r.source, r.text, r.side ORDER BY length DESC, start) = 1)"""
+
 QUERIES = {
     "filter_contains": (filter_contains,
                         "SELECT page_id, url FROM pages WHERE contains(url, 'page=')"),
@@ -246,6 +281,14 @@ QUERIES = {
     "language_told": (language_told, f"WITH {_TOLD} SELECT doc_id, told, distance FROM told"),
     "told_line_filter": (told_line_filter, f"""WITH {_TOLD}
         SELECT doc_id, {_KEPT_LINES} AS text FROM documents JOIN told USING (doc_id) WHERE told = 'en'"""),
+    "edge_lines": (edge_lines, f"""WITH {_EDGES}
+        SELECT doc_id, coalesce(h.length, 0) AS n_head, coalesce(f.length, 0) AS n_foot,
+               array_to_string(list_filter(string_split(w.text, chr(10)), lambda line, i:
+                   NOT coalesce(i BETWEEN h.first AND h.last, false)
+                   AND NOT coalesce(i BETWEEN f.first AND f.last, false)), chr(10)) AS text
+        FROM whole w
+        LEFT JOIN longest h ON h.side = 'head' AND h.text = w.text AND h.source IS NOT DISTINCT FROM w.source
+        LEFT JOIN longest f ON f.side = 'foot' AND f.text = w.text AND f.source IS NOT DISTINCT FROM w.source"""),
     "sentences": (sentences, f"WITH {_SENTENCES} SELECT doc_id, pos, sentence FROM cut"),
     "sentence_ids": (sentence_ids, f"""WITH {_SENTENCES}
         SELECT 99 + row_number() OVER (ORDER BY doc_id, pos) AS id, doc_id AS title,
