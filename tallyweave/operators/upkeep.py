@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import all_of, any_of
-from ..session import remove_path, scratch_path
+from ..session import remove_path, scratch_path, stored
+
+WRITERS = 16  # tasks that may write one partition of a table
 
 
 def _known(keys: Sequence[str]) -> Column:
@@ -64,6 +66,34 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return merged.unionByName(_missing_keys(target, source, keys))
 
 
+def upsert_partitions(source: DataFrame, name: str, keys: Sequence[str]) -> None:
+    """Upsert into table `name`, reading and writing only the partitions that `source` has.
+
+    The partition columns must be among the keys, so no row changes its
+    partition and a matching row can only lie in the source's own partitions:
+    the join with these prunes the scan of the table as it runs. Partitions are
+    replaced one by one, each as a whole; after a loss in between the same
+    call leads to the same table. Raises where a partition column is missing in
+    a source row, or several source rows claim one target row; nothing is
+    written then. An empty source changes nothing.
+    """
+    spark = source.sparkSession
+    by = _partition_columns(spark, name)
+    if not by or not set(by) <= set(keys):
+        raise ValueError(f"the partition columns {by} of {name} have to be some of the keys {list(keys)}")
+    target = current(spark, name)
+    # the source is met several times, and must be the same each time
+    source = stored(source.select(*target.columns).filter(
+        _never(~_known(by), "a partition column is missing")), "upsert")
+    # the table's own folders are its partitions, so there are no more of these rows than folders
+    touched = source.select(*by).distinct()
+    merged = merge_upsert(target.join(F.broadcast(touched), by, "left_semi"), source, keys)
+    placed = merged.select(*target.columns).repartition(*by, F.pmod(F.xxhash64(*keys), F.lit(WRITERS)))
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        placed.write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
+
+
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Only source rows without a partner are added."""
     return target.unionByName(_unmatched(source.select(*target.columns), target, keys))
@@ -152,21 +182,24 @@ def create_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
 
 
 @contextmanager
-def _partitions_by_folder(spark: SparkSession) -> Iterator[None]:
-    """Tables created meanwhile find their partitions in their folder.
-
-    The catalog would else keep a place for each, and a table could not move
-    to another folder in one step.
-    """
-    key = "spark.sql.hive.manageFilesourcePartitions"
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def _partitions_by_folder(spark: SparkSession) -> AbstractContextManager:
+    """Tables created meanwhile find their partitions in their folder.
+
+    The catalog would else keep a place for each, and a table could not move
+    to another folder in one step.
+    """
+    return _setting(spark, "spark.sql.hive.manageFilesourcePartitions", "false")
+
+
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] | None = None) -> None:
     """Publish `df` as the content of table `name`.
 

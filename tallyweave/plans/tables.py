@@ -47,6 +47,22 @@ def table_replace(spark: SparkSession, folder: str) -> DataFrame:
     return up.current(spark, name)
 
 
+def _by_year(orders: DataFrame) -> DataFrame:
+    return orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("o_year"))
+
+
+def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Finished orders by year; those since 1999 that are urgent or open are laid over them."""
+    orders = parquet_table(spark, folder, "orders")
+    name = _fresh(spark, "by_year")
+    up.create_table(_by_year(orders.filter("o_orderstatus <> 'O'")), name, ["o_year"])
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    late = orders.filter((F.year("o_orderdate") >= 1999) & (urgent | (F.col("o_orderstatus") == "O")))
+    price = F.when(urgent, F.col("o_totalprice") + 1000.0).otherwise(F.col("o_totalprice"))
+    up.upsert_partitions(_by_year(late.withColumn("o_totalprice", price)), name, ["o_year", "o_orderkey"])
+    return up.current(spark, name)
+
+
 def table_widen(spark: SparkSession, folder: str) -> DataFrame:
     """A table replaced by one with a column more."""
     name = _fresh(spark, "widened")
@@ -123,6 +139,11 @@ QUERIES = {
     "table_save": (table_save, "SELECT * FROM orders"),
     "table_save_all": (table_save_all, "SELECT * EXCLUDE (o_orderstatus), o_orderstatus FROM orders"),
     "table_replace": (table_replace, cases.QUERIES["merge_upsert"][1]),
+    "merge_partitions": (merge_partitions, """
+        SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 1999 AND o_orderpriority = '1-URGENT'
+                                THEN o_totalprice + 1000.0 ELSE o_totalprice END AS o_totalprice,
+               CAST(year(o_orderdate) AS INTEGER) AS o_year
+        FROM orders WHERE o_orderstatus <> 'O' OR year(o_orderdate) >= 1999"""),
     "table_widen": (table_widen, cases.QUERIES["schema_merge_union"][1]),
     "table_as_query": (table_as_query, """
         SELECT o_custkey, count(*) AS n_orders, max(o_orderkey) AS last_order

@@ -173,3 +173,34 @@ def test_all_orders_are_saved(spark):
     saved = entry_module.queries()["table_save_all"](spark, folder)
     counts = [dict(df.groupBy("o_orderstatus").count().collect()) for df in (orders, saved)]
     assert counts[0] == counts[1] and "O" in counts[1]
+
+
+def _files(spark, name):
+    return {row.path: row.year for row in spark.table(name).select(
+        "year", F.input_file_name().alias("path")).distinct().collect()}
+
+
+def test_upsert_leaves_other_partitions_alone(spark):
+    start = [("A", "2021", "1", 1.0), ("A", "2022", "1", 2.0), ("B", "2022", "1", 3.0), ("C", "2023", "1", 4.0)]
+    up.create_table(_table(spark, start), "by_year_test", ["year"])
+    before = _files(spark, "by_year_test")
+    source = _table(spark, [("A", "2022", "1", 2.5), (None, "2022", "1", 8.0), ("D", "2024", "1", 9.0)])
+    for _ in range(2):  # a row without a key matches nothing and comes once a call
+        up.upsert_partitions(source, "by_year_test", KEY)
+        after = _files(spark, "by_year_test")
+        kept = {path for path, year in before.items() if year in ("2021", "2023")}
+        assert kept == {path for path, year in after.items() if year in ("2021", "2023")}
+        assert not {path for path, year in before.items() if year == "2022"} & set(after)
+    got = rows(spark.table("by_year_test").select("symbol", "year", "ratio"))
+    assert got == rows(spark.createDataFrame(
+        [("A", "2021", 1.0), ("A", "2022", 2.5), ("B", "2022", 3.0), ("C", "2023", 4.0),
+         (None, "2022", 8.0), (None, "2022", 8.0), ("D", "2024", 9.0)],
+        "symbol string, year string, ratio double"))
+    up.upsert_partitions(source.limit(0), "by_year_test", KEY)
+    assert _files(spark, "by_year_test") == after
+    for bad, message in [(("E", None, "1", 1.0), "partition column"), (("A", "2022", "1", 1.0), "several source")]:
+        with pytest.raises(Exception, match=message):
+            up.upsert_partitions(_table(spark, [bad, bad]), "by_year_test", KEY)
+        assert _files(spark, "by_year_test") == after
+    with pytest.raises(ValueError, match="partition columns"):
+        up.upsert_partitions(source, "by_year_test", ["symbol"])
