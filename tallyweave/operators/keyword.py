@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..session import stored
 from .numbering import first_rows
 from .scoring import SCORE_DIGITS
@@ -34,6 +35,17 @@ def terms_of(text: Column | str) -> Column:
     return F.filter(words, lambda word: word != "")
 
 
+def _term_counts(terms: Column) -> Column:
+    """The different terms of a sorted array with their counts: term, n."""
+    def counted(starts: Column) -> Column:
+        return F.transform(starts, lambda start, at: F.struct(
+            F.get(terms, start).alias("term"),
+            (F.coalesce(F.get(starts, at + 1), F.size(terms)) - start).cast("long").alias("n")))
+
+    places = F.transform(terms, lambda _, at: at)
+    return let(F.filter(places, lambda at: (at == 0) | (F.get(terms, at) != F.get(terms, at - 1))), counted)
+
+
 def inverted_index(
     passages: DataFrame, text: str = "content", slice_postings: int = SLICE_POSTINGS
 ) -> DataFrame:
@@ -43,12 +55,13 @@ def inverted_index(
     log of its rarity times its saturated count, which the passage's length
     lowers. NULL and empty texts have no postings; ids are unique longs.
     """
+    # a text is counted inside its row, so that words only move with their counts
+    sorted_terms = passages.select("passage_id", F.sort_array(terms_of(text)).alias("terms"))
     counts = stored(
-        passages.select("passage_id", F.explode(terms_of(text)).alias("term"))
-        .groupBy("passage_id", "term").agg(F.count("*").alias("n")),
+        sorted_terms.select("passage_id", F.size("terms").cast("long").alias("length"),
+                            F.inline(_term_counts(F.col("terms")))),
         "term-counts",
     )
-    lengths = counts.groupBy("passage_id").agg(F.sum("n").alias("length"))
     total = passages.count()
     mean = counts.agg(F.sum("n")).first()[0] or 0
     mean = mean / total if total else 0.0
@@ -61,7 +74,7 @@ def inverted_index(
     slices = counts.count() // slice_postings + 1
     posting = F.struct("passage_id", weight.alias("weight"))
     lists = (
-        counts.join(lengths, "passage_id").join(rarity, "term")
+        counts.join(rarity, "term")
         .groupBy(F.pmod(F.xxhash64("passage_id"), F.lit(slices)).cast("int").alias("slice"), "term")
         .agg(F.sort_array(F.collect_list(posting)).alias("list"))
     )
