@@ -1,5 +1,8 @@
 """Exact search against NumPy, text vectors and index upkeep."""
 
+import random
+import re
+
 import numpy as np
 import pytest
 from conftest import rows
@@ -89,6 +92,30 @@ def test_text_vectors_by_hand(spark):
         assert np.allclose(found, expected, atol=1e-6)
 
 
+@pytest.mark.parametrize("how", [
+    {}, {"block_bytes": 300, "slice_bytes": 900}, {"task_pairs": 1}])
+def test_top_k_by_counts_equals_top_k_of_vectors(spark, how):
+    pick = random.Random(5)
+    texts = [" ".join(pick.choices([f"w{i}" for i in range(40)], k=pick.randint(0, 12))) for _ in range(80)]
+    docs = spark.createDataFrame(
+        [(i, text) for i, text in enumerate([*texts, None, "", texts[3], "unheard"])], "passage_id long, text string")
+    asked = docs.filter("passage_id % 3 = 0").withColumnRenamed("passage_id", "query_id")
+    model, counts = rt.model_and_counts(docs, "passage_id", "text", 64)
+    _, vectors = rt.model_and_vectors(docs, "passage_id", "text", 64, kind="float64")
+    queries = rt.text_vectors(model, asked, "float64").select("query_id", "vector")
+    near = rt.top_k_by_counts(counts, rt.word_counts(model, asked, "query_id"), 5, model, **how)
+    assert rows(near) == rows(rt.top_k(vectors, queries, 5))
+    assert rt.top_k_by_counts(counts.limit(0), rt.word_counts(model, asked, "query_id"), 5, model).count() == 0
+
+
+def test_text_search_moves_counts_and_no_vectors(spark):
+    asked = spark.createDataFrame([(1, "the of")], "query_id long, question string")
+    hits = _found(spark, "/root/testdata/sf0.001", asked, "question")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    moved = re.findall(r"Exchange hashpartitioning\(_block.*\n.*", plan)
+    assert len(moved) == 2 and all("buckets" in part and "vector" not in part for part in moved)
+
+
 def test_index_sync(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
     model = rt.text_model(df, "text", features=64)
