@@ -2,14 +2,21 @@
 
 A language's profile is the list of its most frequent trigrams. A text has a
 list of its own, and the language whose list puts its trigrams at the nearest
-places is told. Everything is a DataFrame expression.
+places is told. Words are cut by DataFrame expressions; trigrams are counted in
+tasks, over many texts at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..session import stored
+from . import trigrams as tg
 from .numbering import first_rows
 
 SIZE = 3  # letters of a gram
@@ -46,38 +53,82 @@ def gram_places(docs: DataFrame, key: str, text: str) -> DataFrame:
     return _ranked(grams.groupBy(key, "gram").agg(F.count("*").alias("n")), key)
 
 
+def _marked(text: Column | str) -> Column:
+    """The words of a text with one mark between them, before the first and behind the last."""
+    return F.concat(F.lit("_"), F.array_join(words_of(text), "_"), F.lit("_"))
+
+
 def profiles(docs: DataFrame, text: str, lang: str = "lang") -> DataFrame:
     """The list of every language: lang, gram, place; rows without a language are left out.
 
-    Words are counted first and before the exchange, so a language that most
-    rows have is spread over its words, and trigrams are made of each word once.
-    There are PLACES rows a language.
+    Trigrams are counted in slices of the texts, so only their counts move, and a
+    language that most rows have is spread over its texts. There are PLACES rows a
+    language.
     """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, some in tg.slices(batch["words"]):
+                langs = batch["lang"].slice(first, some).dictionary_encode()
+                owner, gram, n = tg.counted(
+                    batch["words"].slice(first, some), langs.indices.to_numpy().astype("int64"))
+                yield pa.RecordBatch.from_pydict({
+                    "lang": langs.dictionary.take(pa.array(owner)).cast(pa.string()),
+                    "gram": pa.array(map(tg.text, gram.tolist()), pa.string()), "n": pa.array(n, pa.int64()),
+                })
+
     words = docs.filter(F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), F.explode(words_of(text)).alias("word")
-    ).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    grams = words.select("lang", "n", F.explode(grams_of(F.col("word"))).alias("gram"))
+        F.col(lang).cast("string").alias("lang"), _marked(text).alias("words"))
+    grams = words.mapInArrow(count, "lang string, gram string, n long")
     return _ranked(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "lang")
 
 
 def told_languages(docs: DataFrame, key: str, text: str, known: DataFrame) -> DataFrame:
     """key, told and distance for every text of `docs` that has a letter.
 
-    `known` are `profiles`. The distance is how far the text's trigrams are
-    from their places in the told language's list, summed; equal distances are
-    settled by the language's name.
+    `known` are `profiles`, PLACES rows a language, which every task gets. The
+    distance is how far the text's trigrams are from their places in the told
+    language's list, summed; equal distances are settled by the language's name.
+
+    A text is told inside its row, so texts do not move. Only those of rows that
+    share their key do: they are counted as one text.
     """
+    lists = [(row.lang, row.gram, row.place) for row in known.select("lang", "gram", "place").collect()]
+    of = tg.Profiles(lists, PLACES)
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, some in tg.slices(batch["words"]):
+                rows, best, distance = of.told(batch["words"].slice(first, some))
+                told = pa.array(of.langs or [None], pa.string()).take(pa.array(best))
+                keys = batch.column(0).slice(first, some).take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays(
+                    [keys, told, pa.array(distance, pa.int64())], names=[key, "told", "distance"])
+
+    shared = stored(
+        docs.groupBy(F.col(key).alias("_shared")).count().filter("count > 1 or _shared is null").select("_shared"),
+        "shared-keys",
+    )
+    alike = F.col(key).eqNullSafe(F.col("_shared"))
+    result = StructType([docs.schema[key], *StructType.fromDDL("told string, distance long")])
+    alone = docs.select(key, _marked(text).alias("words")).mapInArrow(tell, result).join(
+        shared, alike, "left_anti")
+    together = _told_together(docs.join(shared, alike, "left_semi"), key, text, lists, min(of.langs, default=None))
+    return alone.unionByName(together)
+
+
+def _told_together(
+    docs: DataFrame, key: str, text: str, known: list[tuple[str, str, int]], first: str | None
+) -> DataFrame:
+    """`told_languages` of the rows of a key as one text; a NULL key is told the `first` language."""
     lists = gram_places(docs, key, text)
     sizes = lists.groupBy(key).agg(F.count("*").alias("_size"))
-    # both have a bound: PLACES rows a language, and one row
-    places = F.broadcast(known.withColumnRenamed("place", "_known"))
-    first = F.broadcast(known.agg(F.min("lang").alias("_first")))
+    places = F.broadcast(docs.sparkSession.createDataFrame(known, "lang string, gram string, _known int"))
     nearer = F.sum(F.abs(F.col("place") - F.col("_known")) - PLACES)
     shared = lists.join(places, "gram").groupBy(key, "lang").agg(nearer.alias("_nearer"))
     best = shared.groupBy(key).agg(F.min(F.struct("_nearer", "lang")).alias("_best"))
     # a language that shares no trigram is PLACES off with each, so only a text that
     # shares none with any language lacks a best one: all are as far then
-    return sizes.join(best, key, "left").join(first).select(
-        key, F.coalesce("_best.lang", "_first").alias("told"),
+    return sizes.join(best, key, "left").select(
+        key, F.coalesce("_best.lang", F.lit(first).cast("string")).alias("told"),
         (F.col("_size") * PLACES + F.coalesce("_best._nearer", F.lit(0))).cast("long").alias("distance"),
     )

@@ -104,3 +104,63 @@ def test_odd_languages(spark):
         "doc_id long, text string, lang string")
     told = {r.doc_id: r.told for r in lg.told_languages(docs, "doc_id", "text", lg.profiles(docs, "text")).collect()}
     assert told == {1: "en", 4: "de", 5: "de"}
+
+
+def plain_told(docs):
+    """key to (told, distance), rows of a key together."""
+    def listed(counts):
+        best = sorted(counts, key=lambda gram: (-counts[gram], gram))[:lg.PLACES]
+        return {gram: place for place, gram in enumerate(best, 1)}
+
+    own, by_lang = {}, {}
+    for key, text, lang in docs:
+        words = re.findall(r"[^\W\d_]{1,64}", (text or "").lower())
+        grams = Counter(f"_{word}_"[i:i + 3] for word in words for i in range(len(word)))
+        own.setdefault(key, Counter()).update(grams)
+        if lang and grams:
+            by_lang.setdefault(lang, Counter()).update(grams)
+    known = {lang: listed(counts) for lang, counts in sorted(by_lang.items())}
+    out = {}
+    for key, counts in own.items():
+        places = listed(counts)
+        far = {lang: sum(abs(place - theirs[gram]) if gram in theirs else lg.PLACES for gram, place in places.items())
+               for lang, theirs in known.items()}
+        if places and key is None:  # meets no key
+            out[key] = min(known), len(places) * lg.PLACES
+        elif places:
+            out[key] = min((distance, lang) for lang, distance in far.items())[::-1]
+    return out
+
+
+def test_told_languages_equal_plain_ones(spark, monkeypatch):
+    pick = random.Random(8)
+    sounds = {"en": ["th", "the", "ing", "ea", "st"], "de": ["sch", "der", "\u00fc", "ung", "ei"],
+              "el": ["\u03bf\u03c5", "\u03ba\u03b1\u03b9", "\u03c2"], "zz": ["\U00010400", "q", "\u4e2d"], None: ["a", "e"]}
+
+    def text(lang):
+        return " 7_".join("".join(pick.choices(sounds[lang], k=pick.randint(1, 9))) for _ in range(pick.randint(1, 90)))
+
+    docs = [(i, text(lang), lang) for i, lang in enumerate(pick.choices(list(sounds), k=60))]
+    docs += [(70, "x" * 200 + " \U00010400" * 3, "en"), (71, None, "en"), (72, "12_3", "de"), (73, "\u0416\u0416", None)]
+    docs += [(3, "the the thing", "en"), (3, "der ung", "de"), (None, "the thing", "en"), (None, "ung", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+
+    def check():
+        told = lg.told_languages(df, "doc_id", "text", lg.profiles(df, "text")).collect()
+        assert {r.doc_id: (r.told, r.distance) for r in told} == plain_told(docs)
+        assert len(told) == len(plain_told(docs))
+
+    check()
+    monkeypatch.setattr(lg.tg, "MOST_CHARS", 300)
+    monkeypatch.setattr(lg.tg, "MOST_TEXTS", 4)
+    check()
+    none = df.filter("lang is null")
+    assert lg.told_languages(none, "doc_id", "text", lg.profiles(none, "text")).filter("told is not null").count() == 0
+
+
+def test_texts_are_told_without_moving(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    told = lg.told_languages(docs, "doc_id", "text", lg.profiles(docs, "text"))
+    plan = told._jdf.queryExecution().executedPlan().toString()
+    own = plan[plan.index("MapInArrow"):]
+    assert "Exchange" not in own[:own.index("FileScan")]
