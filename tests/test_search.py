@@ -12,6 +12,7 @@ from tallyweave.operators import cells as ce
 from tallyweave.operators import keyword as kw
 from tallyweave.operators import languages as lg
 from tallyweave.operators import retrieval as rt
+from tallyweave.plans import documents
 
 
 def hits_of(df):
@@ -164,3 +165,9 @@ def test_texts_are_told_without_moving(spark):
     plan = told._jdf.queryExecution().executedPlan().toString()
     own = plan[plan.index("MapInArrow"):]
     assert "Exchange" not in own[:own.index("FileScan")]
+
+
+def test_told_lines_count_trigrams_in_tasks(spark):
+    plan = documents.told_line_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    own = plan[plan.index("MapInArrow"):]
+    assert "Exchange" not in own[:own.index("FileScan")]
