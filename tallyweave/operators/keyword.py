@@ -2,7 +2,8 @@
 
 The index has a posting list per term and slice of the passages. Slices are cut
 by the passages' ids, so the list of a term that most passages have is spread
-over all of them, and each slice is searched on its own.
+over all of them, and each slice is made and searched on its own. How rare a term
+is counts over all slices, when it is asked for.
 """
 
 from __future__ import annotations
@@ -11,11 +12,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arrays import let
 from ..session import stored
+from . import postings as po
 from .numbering import first_rows
 from .scoring import SCORE_DIGITS
 
@@ -35,51 +37,49 @@ def terms_of(text: Column | str) -> Column:
     return F.filter(words, lambda word: word != "")
 
 
-def _term_counts(terms: Column) -> Column:
-    """The different terms of a sorted array with their counts: term, n."""
-    def counted(starts: Column) -> Column:
-        return F.transform(starts, lambda start, at: F.struct(
-            F.get(terms, start).alias("term"),
-            (F.coalesce(F.get(starts, at + 1), F.size(terms)) - start).cast("long").alias("n")))
+def line_of(text: Column | str) -> Column:
+    """The terms of a text, in their order, with a space between them."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+
 
-    places = F.transform(terms, lambda _, at: at)
-    return let(F.filter(places, lambda at: (at == 0) | (F.get(terms, at) != F.get(terms, at - 1))), counted)
+def line_length(line: Column | str) -> Column:
+    """How many terms a line has."""
+    line = F.col(line) if isinstance(line, str) else line
+    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.when(line == "", 0).otherwise(spaces + 1).cast("long")
 
 
 def inverted_index(
     passages: DataFrame, text: str = "content", slice_postings: int = SLICE_POSTINGS
 ) -> DataFrame:
-    """Posting lists of `passages` (passage_id, text): slice, term, ids, weights.
+    """Posting lists of `passages` (passage_id, text): slice, term, ids, shares, having, total.
 
-    A weight is what the term adds to the score of that passage (BM25): the
-    log of its rarity times its saturated count, which the passage's length
-    lowers. NULL and empty texts have no postings; ids are unique longs.
+    A share is the saturated count of a term in a passage (BM25), which the
+    passage's length lowers; times the term's rarity it is what the term adds to
+    the score. `having` passages are in the list, there are `total` in all slices.
+    NULL and empty texts have no postings; ids are unique longs.
     """
-    # a text is counted inside its row, so that words only move with their counts
-    sorted_terms = passages.select("passage_id", F.sort_array(terms_of(text)).alias("terms"))
-    counts = stored(
-        sorted_terms.select("passage_id", F.size("terms").cast("long").alias("length"),
-                            F.inline(_term_counts(F.col("terms")))),
-        "term-counts",
-    )
-    total = passages.count()
-    mean = counts.agg(F.sum("n")).first()[0] or 0
-    mean = mean / total if total else 0.0
-    rarity = counts.groupBy("term").agg(F.count("*").alias("having")).select(
-        "term", F.log(1 + (F.lit(total) - F.col("having") + 0.5) / (F.col("having") + 0.5)).alias("rarity")
-    )
-    n = F.col("n").cast("double")
-    room = REPEATS * (1 - LENGTH + LENGTH * F.col("length") / F.lit(mean))
-    weight = F.col("rarity") * n * (REPEATS + 1) / (n + room)
-    slices = counts.count() // slice_postings + 1
-    posting = F.struct("passage_id", weight.alias("weight"))
-    lists = (
-        counts.join(rarity, "term")
-        .groupBy(F.pmod(F.xxhash64("passage_id"), F.lit(slices)).cast("int").alias("slice"), "term")
-        .agg(F.sort_array(F.collect_list(posting)).alias("list"))
-    )
+    # texts move as they are, to the slice whose task counts their terms and makes its lists
+    lines = stored(passages.select("passage_id", line_of(text).alias("line")), "term-lines")
+    whole = lines.agg(F.count("*").alias("total"), F.sum(line_length("line")).alias("length")).first()
+    total, length = whole["total"], whole["length"] or 0
+    mean = length / total if total else 0.0
+    slices = length // slice_postings + 1
+
+    def lists(key: tuple, part: pa.Table) -> pa.Table:
+        found = po.lists(part["passage_id"].combine_chunks(), part["line"].combine_chunks(), mean, REPEATS, LENGTH)
+        count = len(found["term"])
+        return pa.table({
+            "slice": pa.repeat(pa.scalar(key[0].as_py(), pa.int32()), count), **found,
+            "having": pc.list_value_length(found["ids"]).cast(pa.int64()),
+            "total": pa.repeat(pa.scalar(total, pa.int64()), count),
+        })
+
+    slice_of = F.pmod(F.xxhash64("passage_id"), F.lit(slices)).cast("int").alias("slice")
     return stored(
-        lists.select("slice", "term", F.col("list.passage_id").alias("ids"), F.col("list.weight").alias("weights")),
+        lines.filter("line != ''").select(slice_of, "passage_id", "line").groupBy("slice").applyInArrow(
+            lists, "slice int, term string, ids array<long>, shares array<double>, having long, total long"),
         "postings",
     )
 
@@ -107,17 +107,24 @@ def keyword_top_k(
 
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("_block")
     wanted = asked.select("term", block).distinct()
-    left = index.join(wanted, "term").select("slice", "_block", "term", "ids", "weights")
+    having, total = F.sum("having"), F.max("total")
+    rarity = index.select("term", "having", "total").join(
+        wanted.select("term").distinct(), "term"
+    ).groupBy("term").agg(F.log(1 + (total - having + 0.5) / (having + 0.5)).alias("rarity"))
+    # stored, so that its size is known and a small one goes to the lists
+    rare = stored(wanted.join(rarity, "term"), "wanted-terms")
+    left = index.join(rare, "term").select(
+        "slice", "_block", "term", "rarity", "ids", "shares")
     right = asked.select("query_id", "term", block, every(slices).alias("slice"))
 
     def search(lists: pa.Table, terms: pa.Table) -> pa.Table:
         owners, ids, scores = [], [], []
         if lists.num_rows:
-            weights = lists["weights"].combine_chunks()
+            shares = lists["shares"].combine_chunks()
             every_id = lists["ids"].combine_chunks()
             starts = every_id.offsets.to_numpy()
             flat, place = np.unique(every_id.values.to_numpy(), return_inverse=True)
-            flat_weights = weights.values.to_numpy()
+            flat_weights = shares.values.to_numpy() * np.repeat(lists["rarity"].to_numpy(), np.diff(starts))
             row_of = dict(zip(lists["term"].to_pylist(), range(lists.num_rows)))
             own: dict[int, list[str]] = {}
             for query, term in zip(terms["query_id"].to_pylist(), terms["term"].to_pylist()):

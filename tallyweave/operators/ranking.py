@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .keyword import terms_of
+from ..session import stored
+from . import postings as po
+from . import trigrams as tg
+from .keyword import line_length, line_of
 from .scoring import SCORE_DIGITS
 
 ANCHOR = 5  # terms by which a question and the passages that hold it meet
@@ -15,29 +22,38 @@ def holders(passages: DataFrame, queries: DataFrame, content: str = "content", t
     """(query_id, passage_id) of all passages that hold a question's terms in a row.
 
     The question's first `ANCHOR` terms are joined with all runs of as many
-    terms of the passages, then the whole question is compared. Questions of
-    fewer terms, NULL and empty ones are held by none. Ids are unique.
+    terms of the passages by their hash, then the whole question is compared.
+    Questions of fewer terms, NULL and empty ones are held by none. Ids are unique.
     """
-    own = passages.select("passage_id", terms_of(content).alias("_own"))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.size("_own") - ANCHOR + 1),
-        lambda start: F.xxhash64(F.array_join(F.slice("_own", start, ANCHOR), " ")),
-    )
-    places = own.filter(F.size("_own") >= ANCHOR).select(
-        "passage_id", F.explode(F.array_distinct(runs)).alias("_anchor")
-    )
-    asked = queries.select("query_id", terms_of(text).alias("_asked")).filter(F.size("_asked") >= ANCHOR).select(
-        "query_id", F.xxhash64(F.array_join(F.slice("_asked", 1, ANCHOR), " ")).alias("_anchor"),
-        _padded("_asked").alias("_asked"),
-    )
-    met = places.join(asked, "_anchor").select("passage_id", "query_id", "_asked")
-    return met.join(own, "passage_id").filter(_padded("_own").contains(F.col("_asked"))).select(
-        "query_id", "passage_id"
-    )
+    asked = queries.select("query_id", line_of(text).alias("_asked")).filter(line_length("_asked") >= ANCHOR)
+    heads = _anchors(asked.select(
+        "query_id", _padded(F.col("_asked")).alias("_asked"), F.substring_index("_asked", " ", ANCHOR).alias("line")
+    ))
+    places = _anchors(passages.select("passage_id", line_of(content).alias("line")))
+    # pairs that met are few, and known to be before the texts are read for the whole comparison
+    met = stored(places.join(heads, "_anchor").select("passage_id", "query_id", "_asked"), "met-questions")
+    whole = _padded(line_of(F.col("_content"))).contains(F.col("_asked"))
+    own = passages.select("passage_id", F.col(content).alias("_content"))
+    return met.join(own, "passage_id").filter(whole).select("query_id", "passage_id")
+
+
+def _padded(line: Column) -> Column:
+    return F.concat(F.lit(" "), line, F.lit(" "))
+
+
+def _anchors(lines: DataFrame) -> DataFrame:
+    """The other columns of every line with its different runs of `ANCHOR` terms, `_anchor`."""
+    kept = [field for field in lines.schema.fields if field.name != "line"]
+    names = [field.name for field in kept]
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, some in tg.slices(batch["line"]):
+                rows, runs = po.runs(batch["line"].slice(first, some), ANCHOR)
+                own = [batch[name].slice(first, some).take(pa.array(rows)) for name in names]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(runs)], names=[*names, "_anchor"])
 
-def _padded(terms: str) -> Column:
-    return F.concat(F.lit(" "), F.array_join(terms, " "), F.lit(" "))
+    return lines.mapInArrow(cut, StructType([*kept, *StructType.fromDDL("_anchor long")]))
 
 
 def measures(queries: DataFrame, hits: DataFrame, relevant: DataFrame, k: int) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyweave.operators import cells as ce
 from tallyweave.operators import keyword as kw
 from tallyweave.operators import languages as lg
+from tallyweave.operators import ranking as rk
 from tallyweave.operators import retrieval as rt
 from tallyweave.plans import documents
 
@@ -171,3 +172,36 @@ def test_told_lines_count_trigrams_in_tasks(spark):
     plan = documents.told_line_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     own = plan[plan.index("MapInArrow"):]
     assert "Exchange" not in own[:own.index("FileScan")]
+
+
+def test_index_of_copies_and_long_texts(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b a"), (2, "a b a"), (2, "a b a"), (3, "b " * 5_000), (4, " _-"), (5, None)],
+        "passage_id long, content string")
+    index = kw.inverted_index(docs)
+    got = {row.term: (row.ids, row.having, row.total) for row in index.collect()}
+    assert got == {"a": ([1, 2, 2], 3, 6), "b": ([1, 2, 2, 3], 4, 6)}
+    assert kw.inverted_index(docs, slice_postings=2_000).select("slice").distinct().count() > 1
+
+
+def test_terms_are_counted_in_tasks(spark):
+    docs = spark.createDataFrame([(1, "one two three four five")], "passage_id long, content string")
+    asked = spark.createDataFrame([(1, "one two three four five")], "query_id long, question string")
+    shuffled = []
+    made = kw.stored
+
+    def kept(df, purpose):
+        shuffled.append((purpose, df._jdf.queryExecution().executedPlan().toString()))
+        return made(df, purpose)
+
+    kw.stored = kept
+    try:
+        kw.inverted_index(docs)
+    finally:
+        kw.stored = made
+    plans = dict(shuffled)
+    # one exchange of whole texts, and terms are no rows before they are in their lists
+    assert plans["postings"].count("Exchange hash") == 1 and "Join" not in plans["postings"]
+    assert not any(word in plan for plan in plans.values() for word in ("Generate", "HashAggregate"))
+    held = rk.holders(docs, asked)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in held
