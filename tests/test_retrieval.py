@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyweave.operators import retrieval as rt
 from tallyweave.operators.scoring import SCORE_DIGITS
 from tallyweave.operators.upkeep import current, replace_table
-from tallyweave.plans.retrieval import _found
+from tallyweave.plans.retrieval import _found, _near_texts
 from tallyweave.streaming import index as ix
 
 TEXTS = ["Taxes are due in April.", "Wages and taxes, wages!", "A song about rain", "", "rain rain"]
@@ -110,10 +110,12 @@ def test_top_k_by_counts_equals_top_k_of_vectors(spark, how):
 
 def test_text_search_moves_counts_and_no_vectors(spark):
     asked = spark.createDataFrame([(1, "the of")], "query_id long, question string")
-    hits = _found(spark, "/root/testdata/sf0.001", asked, "question")
+    hits = _near_texts(spark, "/root/testdata/sf0.001", asked, "question", 4)
     plan = hits._jdf.queryExecution().executedPlan().toString()
     moved = re.findall(r"Exchange hashpartitioning\(_block.*\n.*", plan)
     assert len(moved) == 2 and all("buckets" in part and "vector" not in part for part in moved)
+    found = _found(spark, "/root/testdata/sf0.001", asked, "question")
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_index_sync(spark):
