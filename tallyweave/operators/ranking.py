@@ -30,10 +30,12 @@ def holders(passages: DataFrame, queries: DataFrame, content: str = "content", t
         "query_id", _padded(F.col("_asked")).alias("_asked"), F.substring_index("_asked", " ", ANCHOR).alias("line")
     ))
     places = _anchors(passages.select("passage_id", line_of(content).alias("line")))
-    # pairs that met are few, and known to be before the texts are read for the whole comparison
+    # pairs that met are few, and known to be before the texts are read for the whole comparison;
+    # only texts that met a question move
     met = stored(places.join(heads, "_anchor").select("passage_id", "query_id", "_asked"), "met-questions")
     whole = _padded(line_of(F.col("_content"))).contains(F.col("_asked"))
-    own = passages.select("passage_id", F.col(content).alias("_content"))
+    ids = stored(met.select("passage_id").distinct(), "met-passages")
+    own = passages.select("passage_id", F.col(content).alias("_content")).join(ids, "passage_id", "left_semi")
     return met.join(own, "passage_id").filter(whole).select("query_id", "passage_id")
 
 
