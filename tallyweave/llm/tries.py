@@ -34,7 +34,7 @@ class Trie:
     """
 
     def __init__(self, phrases: np.ndarray, symbols: int):
-        self.digits = digits_for(symbols)
+        self.symbols, self.digits = symbols, digits_for(symbols)
         paths = digits(phrases.astype(np.int64), self.digits).reshape(
             len(phrases), phrases.shape[1] * self.digits)
         node, nodes = np.zeros(len(paths), np.int64), 1
@@ -56,6 +56,10 @@ class Trie:
         self.check[slot[1:]] = slot[parent]
         self.accepts = np.full(size + 1, -1, np.int32)
         self.accepts[slot[node]] = np.arange(len(phrases))
+        self.begun = np.full(symbols, -1, np.int32)  # the state that a first symbol leads to
+        at, state = self._stepped(
+            np.arange(symbols), np.full(symbols, self.root, np.int32), np.arange(symbols))
+        self.begun[at] = state
 
     @staticmethod
     def _places(parent: np.ndarray, step: np.ndarray, nodes: int) -> tuple[np.ndarray, int]:
@@ -85,22 +89,30 @@ class Trie:
                 rest, of = rest[left], of[left]
         return base, len(used)
 
+    def _stepped(
+        self, at: np.ndarray, state: np.ndarray, symbol: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The positions whose state has a child by their symbol, and that child."""
+        for place in range(self.digits - 1, -1, -1):
+            child = self.base[state] + (symbol >> DIGIT_BITS * place & (RADIX - 1))
+            alive = self.check[child] == state
+            at, state, symbol = at[alive], child[alive], symbol[alive]
+        return at, state
+
     def accepted(self, symbols: np.ndarray, depth: int, heads: np.ndarray) -> np.ndarray:
         """Per position the phrase that its head and the `depth` symbols from it on spell, or -1.
 
         A negative symbol ends every phrase. All positions go on together, a
         digit at a time; those whose state has no such child drop out.
         """
-        at = np.flatnonzero(symbols[:max(0, len(symbols) - depth + 1)] >= 0)
-        state = np.full(len(at), self.root, np.int32)
-        for level in range(-1, depth):
-            symbol = heads[at] if level < 0 else symbols[at + level]
+        at = np.flatnonzero((symbols[:max(0, len(symbols) - depth + 1)] >= 0) & (
+            heads[:max(0, len(symbols) - depth + 1)] >= 0))
+        state = self.begun[heads[at]]
+        at, state = at[state >= 0], state[state >= 0]
+        for level in range(depth):
+            symbol = symbols[at + level]
             alive = symbol >= 0
-            at, state, symbol = at[alive], state[alive], symbol[alive]
-            for place in range(self.digits - 1, -1, -1):
-                child = self.base[state] + (symbol >> DIGIT_BITS * place & (RADIX - 1))
-                alive = self.check[child] == state
-                at, state, symbol = at[alive], child[alive], symbol[alive]
+            at, state = self._stepped(at[alive], state[alive], symbol[alive])
         out = np.full(len(symbols), -1, np.int64)
         out[at] = self.accepts[state]
         return out

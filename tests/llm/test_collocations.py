@@ -5,9 +5,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from conftest import rows
 from tallyweave.llm import collocations as co
+from tallyweave.llm.common import stored
 from tallyweave.llm.tries import Trie
 
 SCHEMA = "text string, lang string, phrase string, words string, n int"
@@ -75,6 +77,38 @@ def test_several_tries_give_the_same(spark, monkeypatch):
     assert rows(co.collocations(docs, trie_phrases=100).select(*COLUMNS)) == brute(data)
 
 
+def test_a_pass_for_each_length_however_many_tries(spark, monkeypatch):
+    """Before, each two tries took a pass over the texts."""
+    data, purposes = sample(3), []
+
+    def noted(rows, purpose):
+        purposes.append(purpose)
+        return stored(rows, purpose)
+
+    monkeypatch.setattr(co, "stored", noted)
+    docs = spark.createDataFrame(data, SCHEMA)
+    assert rows(co.collocations(docs, trie_phrases=20).select(*COLUMNS)) == brute(data)
+    assert purposes.count("phrase-texts") == 1 and purposes.count("phrase-pairs") == 3
+
+
+def test_words_and_pieces_like_a_regex(monkeypatch):
+    monkeypatch.setattr(co, "TEXT_BYTES", 40)
+    texts = ["One two. THREE\tfour", "", "Été  no-break\x85x", ".,;", " lone ", "a\nb\x0bc", "x" * 100, "End", "on"]
+    batch = pa.record_batch([pa.array(["en"] * 8 + ["de"]), pa.array(texts)], ["lang", "text"])
+    got = []
+    for part in (batch, batch.slice(2), batch.slice(3, 1), batch.slice(0, 0)):
+        some = list(co._split(part))
+        words = [(lang, word.decode(), bool(at)) for lang, found, first in some
+                 for word, at in zip(found.to_pylist(), first)]
+        want = [(lang, "".join(c.lower() if "A" <= c <= "Z" else c for c in word), at == 0)
+                for lang, text in zip(*part.to_pydict().values())
+                for piece in re.split("[.,;:!?\n\x0b\x0c\r]", text)
+                for at, word in enumerate(re.findall("[^ \t]+", piece))]
+        assert words == want
+        got += words
+    assert len(got) > 20
+
+
 def test_nothing_frequent(spark):
     docs = spark.createDataFrame([("one two", "en"), (None, None)], "text string, lang string")
     for some in (docs, docs.limit(0)):
