@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyweave.operators import retrieval as rt
-from tallyweave.operators.scoring import SCORE_DIGITS
+from tallyweave.operators.scoring import SCORE_DIGITS, Best, BestOfUnits
 from tallyweave.operators.upkeep import current, replace_table
 from tallyweave.plans.retrieval import _found, _near_texts
 from tallyweave.streaming import index as ix
@@ -108,6 +108,37 @@ def test_top_k_by_counts_equals_top_k_of_vectors(spark, how):
     assert rt.top_k_by_counts(counts.limit(0), rt.word_counts(model, asked, "query_id"), 5, model).count() == 0
 
 
+def test_units_in_single_precision_give_the_hits_of_double():
+    """Before, every pair was scored in double precision, rounded and sorted out."""
+    pick = np.random.default_rng(4)
+    units = pick.random((900, 64)) * (pick.random((900, 64)) < 0.2)
+    units[700:] = units[pick.integers(0, 700, 200)] + pick.integers(0, 2, 200)[:, None] * 1e-7  # near ties
+    units[[3, 5, 400, 401]] = 0
+    norms = np.linalg.norm(units, axis=1)[:, None]
+    units = units / np.where(norms, norms, 1)
+    queries = np.concatenate([units[::7], np.zeros((3, 64)), np.eye(64)[:5]])
+    for k in (1, 4, 1_000):
+        best, quick = Best(np.arange(len(queries)), queries, k, False), BestOfUnits(
+            np.arange(len(queries)), queries, k)
+        for at in (0, 2, 300):
+            some = slice(at, {0: 2, 2: 300, 300: 900}[at])
+            best.add(np.arange(900)[some], units[some])
+            quick.add(np.arange(900)[some], units[some])
+        want, got = best.hits(), quick.hits()
+        assert all((want[name] == got[name]).all() for name in ("query_id", "passage_id"))
+        assert np.allclose(want["score"], got["score"], rtol=0, atol=1.1e-9)
+
+
+def test_words_are_counted_in_tasks_as_the_model_counts_them(spark, monkeypatch):
+    """Before, every occurrence of a word was hashed on its own."""
+    monkeypatch.setattr(rt, "TEXT_BYTES", 30)
+    texts = [*TEXTS, None, "", " -- ", "ÀÉ\u0130 x²x ٣ 漢字 漢字", "a" * 50, "word " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    model, counts = rt.model_and_counts(df, "id", "text", 64)
+    assert rows(counts) == rows(rt.word_counts(model, df, "id"))
+    assert np.allclose(model.stages[-2].idf.toArray(), rt.text_model(df, "text", 64).stages[-2].idf.toArray())
+
+
 def test_text_search_moves_counts_and_no_vectors(spark):
     asked = spark.createDataFrame([(1, "the of")], "query_id long, question string")
     hits = _near_texts(spark, "/root/testdata/sf0.001", asked, "question", 4)
